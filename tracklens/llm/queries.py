@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q04_bpe
+from . import q04_bpe, q05_media
 
-MODULES = (q04_bpe,)
+MODULES = (q04_bpe, q05_media)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
