@@ -24,14 +24,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Distinct pre-tokens that a task remembers before it starts afresh.
-MEMO_PIECES = 300_000
-#: Text characters that are encoded at a time within an Arrow batch.
-SLICE_CHARS = 4_000_000
+MEMO_PIECES = 100_000
+#: Bytes of text that are encoded at a time within an Arrow batch.
+SLICE_CHARS = 500_000
 
 _CACHE: dict = {}
 
@@ -117,45 +118,62 @@ def codec(path: str, pattern: str) -> Codec:
     return _CACHE[path, pattern]
 
 
-def _slices(texts: list[str]) -> Iterator[tuple[int, int]]:
-    start = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= SLICE_CHARS:
-            yield start, i + 1
-            start, size = i + 1, 0
-    if start < len(texts):
-        yield start, len(texts)
-
-
 def _lists(parts: list[np.ndarray]) -> pa.Array:
     ends = np.cumsum([0, *map(len, parts)])
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32()))
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = True) -> DataFrame:
-    """``keep`` columns, ``ids`` array<int> and, if asked for, ``starts`` and ``ends``.
+def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Runs of rows whose texts together have about ``SLICE_CHARS`` bytes, with the texts."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        marks = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SLICE_CHARS, prepend=0))
+        for a, b in zip([0, *marks], [*marks, batch.num_rows], strict=True):
+            if b > a:
+                part = batch.slice(a, b - a)
+                yield part, [t or "" for t in part.column(column).to_pylist()]
+
+
+INTS = T.ArrayType(T.IntegerType(), False)
+ENCODED = (T.StructField("ids", INTS),)
+OFFSETS = (T.StructField("starts", INTS), T.StructField("ends", INTS))
+DECODED = (T.StructField("decoded", T.BinaryType()), T.StructField("decoded_text", T.StringType()))
+
+
+def _encoder(path: str, pattern: str, kept: int, names: list[str], offsets: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(path, pattern)
+        for part, texts in _parts(batches, kept):
+            columns = [*part.columns[:kept], _lists([np.frombuffer(x, np.int32) for x in own.encode(texts)])]
+            if offsets:
+                spans = own.offsets(texts)
+                columns += [_lists([s[:, 0] for s in spans]), _lists([s[:, 1] for s in spans])]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
 
-    ``path`` must be readable on every executor (the file comes with an
-    installed package). Texts are whole; nothing is truncated.
-    """
-    kept = [docs.schema[c] for c in keep]
-    ints = T.ArrayType(T.IntegerType(), False)
-    schema = T.StructType([*kept, T.StructField("ids", ints), *([T.StructField("starts", ints), T.StructField("ends", ints)] if offsets else [])])
 
+def _decoder(path: str, pattern: str, ids: int, kept: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for batch in batches:
-            texts = [t or "" for t in batch.column(len(kept)).to_pylist()]
-            for a, b in _slices(texts):
-                ids = [np.frombuffer(x, np.int32) for x in own.encode(texts[a:b])]
-                columns = [*(batch.column(i).slice(a, b - a) for i in range(len(kept))), _lists(ids)]
-                if offsets:
-                    spans = own.offsets(texts[a:b])
-                    columns += [_lists([s[:, 0] for s in spans]), _lists([s[:, 1] for s in spans])]
-                yield pa.RecordBatch.from_arrays(columns, names=[f.name for f in schema])
+            lists = batch.column(ids)
+            out = [own.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else b"" for x in lists]
+            texts = [x.decode("utf-8", "replace") for x in out]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.binary()), pa.array(texts, pa.string())], names=names)
+
+    return run
 
-    return docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text")).mapInArrow(run, schema)
+
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = True) -> DataFrame:
+    """``keep`` columns, ``ids`` array<int> and, if asked for, ``starts`` and ``ends``.
+
+    ``path`` must be readable on every executor (the file comes with an
+    installed package). Texts are whole; nothing is truncated.
+    """
+    fields = [*(docs.schema[c] for c in keep), *ENCODED, *(OFFSETS if offsets else ())]
+    run = _encoder(path, pattern, len(keep), [f.name for f in fields], offsets)
+    return docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text")).mapInArrow(run, T.StructType(fields))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -164,15 +182,19 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", ke
     ``decoded`` is exact for any id sequence; ``decoded_text`` replaces
     incomplete UTF-8 sequences. Null ids decode to nothing.
     """
-    kept = [encoded.schema[c] for c in keep]
-    schema = T.StructType([*kept, T.StructField("decoded", T.BinaryType()), T.StructField("decoded_text", T.StringType())])
+    fields = [*(encoded.schema[c] for c in keep), *DECODED]
+    run = _decoder(path, pattern, len(keep), len(keep), [f.name for f in fields])
+    return encoded.select(*[F.col(c) for c in keep], F.col(ids_col).alias("__ids")).mapInArrow(run, T.StructType(fields))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = codec(path, pattern)
-        for batch in batches:
-            lists = batch.column(len(kept))
-            out = [own.decode(lists[i].values.to_numpy(zero_copy_only=False)) if lists[i].is_valid else b"" for i in range(len(lists))]
-            texts = [x.decode("utf-8", "replace") for x in out]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(kept))), pa.array(out, pa.binary()), pa.array(texts, pa.string())], names=[f.name for f in schema])
 
-    return encoded.select(*[F.col(c) for c in keep], F.col(ids_col).alias("__ids")).mapInArrow(run, schema)
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``encode`` then ``decode`` of its ids in one Python worker: ``keep``, ``ids`` and the decoded columns.
+
+    The same two steps as calling both, with one vocabulary in memory and no
+    second trip of the ids between the JVM and Python.
+    """
+    fields = [*(docs.schema[c] for c in keep), *ENCODED, *DECODED]
+    names, n = [f.name for f in fields], len(keep)
+    encoded = _encoder(path, pattern, n, names[: n + 1], False)
+    decoded = _decoder(path, pattern, n, n + 1, names)
+    return docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text")).mapInArrow(lambda batches: decoded(encoded(batches)), T.StructType(fields))

@@ -18,12 +18,11 @@ def public_vocabulary() -> tuple[str, str]:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = public_vocabulary()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = bpe.encode(docs, path, pattern, offsets=False)
-    decoded = bpe.decode(encoded.withColumn("kept_ids", F.col("ids")), path, pattern, keep=("doc_id", "kept_ids"))
-    return decoded.select(
+    both = bpe.round_trip(docs, path, pattern)
+    return both.select(
         "doc_id",
-        F.size("kept_ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("kept_ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
