@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Distinct pre-tokens that a task remembers before it starts afresh.
-MEMO_PIECES = 100_000
+MEMO_PIECES = 400_000
 #: Bytes of text that are encoded at a time within an Arrow batch.
 SLICE_CHARS = 500_000
 
