@@ -11,8 +11,8 @@ Learning counts trigrams in Spark over a sample of at most about
 fewer), drawn by the hash of the id; the driver gets trigram types, whose number
 is bounded by that sample. A part of the sample is left out of the counts: it
 sets the temperature of the score and, for each language, the cross-entropy
-above which a text is rejected as not being in any learned language: half-way
-between the hardest text of that language and guessing among all characters.
+above which a text is rejected as not being in any learned language: what
+guessing among all characters costs, and no less than the hardest text plus one.
 
 Defined results
     null text, or no letter    ``und``, score 1, rejected
@@ -203,9 +203,9 @@ def calibrate(model: Model, tests: pd.DataFrame) -> None:
     model.temperature = min((0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0), key=loss)
     enough = n >= REJECT_LETTERS
     best = entropy.min(axis=1)
-    # half-way between the hardest known text and guessing among the characters seen
+    # a text in a learned language is coded better than by guessing among the characters seen
     hardest = np.array([best[enough & (truth == k)].max(initial=-np.inf) for k in range(len(model.langs))])
-    model.cutoff = np.where(np.isfinite(hardest), (hardest + np.maximum(np.log(len(model.uni)), hardest + 1)) / 2, np.inf)
+    model.cutoff = np.where(np.isfinite(hardest), np.maximum(hardest + 1, np.log(len(model.uni))), np.inf)
 
 
 def posterior(entropy: np.ndarray, n: np.ndarray, temperature: float) -> np.ndarray:
