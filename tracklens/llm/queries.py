@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import q01_decontam, q02_pii, q03_warc, q04_bpe, q05_media, q06_near_dup, q09_lang_id, q10_sharding
+from . import q01_decontam, q02_pii, q03_warc, q04_bpe, q05_media, q06_near_dup, q07_chat, q09_lang_id, q10_sharding
 
-MODULES = (q01_decontam, q02_pii, q03_warc, q04_bpe, q05_media, q06_near_dup, q09_lang_id, q10_sharding)
+MODULES = (q01_decontam, q02_pii, q03_warc, q04_bpe, q05_media, q06_near_dup, q07_chat, q09_lang_id, q10_sharding)
 
 QUERIES = {name: f for m in MODULES for name, f in m.QUERIES.items()}
 ORACLES = {name: sql for m in MODULES for name, sql in m.ORACLES.items()}
