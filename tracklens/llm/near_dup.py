@@ -17,10 +17,11 @@ about the probability of their Jaccard similarity.
 4. Components of the links are found by label propagation with pointer jumping.
 5. Buckets whose classes are still in several components are looked at again, so
    that a link between two members that the least class does not resemble is not
-   lost: all pairs of one such bucket are compared by their registers, in blocks
-   inside a task, and only pairs in different components that can reach the
-   threshold come out, to be verified. Buckets above ``BLOCK_ROWS`` classes take
-   another exact way: a prefix join on their rarest shingles.
+   lost: the pairs of one such bucket that lie in different components are
+   compared by their registers inside one task, those that can reach the
+   threshold are verified there, and only links come out. Buckets above
+   ``BLOCK_ROWS`` classes take another exact way: a prefix join on their rarest
+   shingles.
 
 Defined results
     null or empty text, or white space   no shingles, linked with nothing, kept
@@ -54,9 +55,9 @@ REGISTERS = BANDS * ROWS
 #: Base, rate and largest value of the registers.
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 #: Log-likelihood that the threshold may lie below the best estimate.
-MAX_LOSS = 16.0
+MAX_LOSS = 10.0
 #: Classes of one bucket that are compared in blocks inside one task.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 1024
 #: Distinct words that a task remembers before it starts afresh.
 MEMO_WORDS = 200_000
 
@@ -227,46 +228,55 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Candidate pairs of classes in one bucket but different components, their registers permitting."""
+    """Verified links (a, b) of classes in one bucket but different components.
+
+    The pairs of a bucket are looked at inside the task that holds it; only
+    verified links come out.
+    """
     known = members.where("size > 2").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     split = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
     rest = written(known.join(split, "bucket"), "near-rest")
-    few = rest.where(F.col("size") <= BLOCK_ROWS).join(classes.select("cid", "n", "regs"), "cid").select("bucket", "cid", "label", "n", "regs")
+    few = rest.where(F.col("size") <= BLOCK_ROWS)
+    wanted = bounded_broadcast(written(few.select("cid").distinct(), "near-wanted"))
+    texts = docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text")).join(wanted, "cid", "left_semi")
+    few = few.join(classes.select("cid", "n", "regs"), "cid").join(texts, "cid").select("bucket", "cid", "label", "n", "regs", "text")
 
-    def pairs_of(ids: np.ndarray, labels: np.ndarray, n: np.ndarray, regs: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def links_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         part, whole = THRESHOLD
-        for i in range(len(ids) - 1):
-            j = slice(i + 1, len(ids))
+        ids, labels, n = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
+        regs = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(-1, REGISTERS)
+        sets = lru_cache(maxsize=None)(lambda k: shingles(rows[k][5]))
+        for i in range(len(rows) - 1):
+            j = slice(i + 1, len(rows))
             maybe = np.flatnonzero((labels[j] != labels[i]) & (np.minimum(n[j], n[i]) * whole >= np.maximum(n[j], n[i]) * part)) + i + 1
             if len(maybe):
                 x, y = regs[i], regs[maybe]
-                keep = maybe[reachable((x > y).sum(axis=1), (x < y).sum(axis=1), np.full(len(maybe), float(n[i])), n[maybe].astype(float))]
-                if len(keep):
-                    yield np.minimum(ids[i], ids[keep]), np.maximum(ids[i], ids[keep])
+                for k in maybe[reachable((x > y).sum(axis=1), (x < y).sum(axis=1), np.full(len(maybe), float(n[i])), n[maybe].astype(float))]:
+                    if similar(sets(i), sets(int(k))):
+                        yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list = []
+        held: list[tuple] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            if len(held) > 1:
-                columns = [np.array(v) for v in list(zip(*held, strict=True))[1:4]]
-                regs = np.frombuffer(b"".join(r[4] for r in held), np.uint16).reshape(-1, REGISTERS)
-                for a, b in pairs_of(*columns, regs):
-                    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            if found := sorted(set(links_of(held))):
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*found, strict=True)], names=["a", "b"])
 
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][0] != row[0]:
-                    yield from flush()
-                    held.clear()
-                held.append(row)
+            for at in range(0, batch.num_rows, 500):
+                for row in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
+                    if held and held[0][0] != row[0]:
+                        yield from flush()
+                        held.clear()
+                    held.append(row)
         yield from flush()
 
-    blocks = few.repartition("bucket").sortWithinPartitions("bucket", "cid").mapInArrow(run, "a long, b long")
+    links = few.repartition("bucket").sortWithinPartitions("bucket", "cid").mapInArrow(run, "a long, b long")
     many = rest.where(F.col("size") > BLOCK_ROWS)
     if many.limit(1).count():
-        blocks = blocks.unionByName(_by_prefix(many.select("cid", "label").distinct(), docs, id_col, text_col))
-    return blocks.distinct()
+        pairs = _by_prefix(many.select("cid", "label").distinct(), docs, id_col, text_col)
+        links = links.unionByName(_verified(written(pairs, "near-pairs"), docs, id_col, text_col))
+    return links.distinct()
 
 
 def _by_prefix(members: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -322,9 +332,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = members.where("cid <> rep").select(F.col("rep").alias("a"), F.col("cid").alias("b")).distinct()
     links = written(_verified(written(_likely(pairs, classes), "near-pairs"), docs, id_col, text_col), "near-links")
     labels = components(links)
-    more = written(_again(members, labels, classes, docs, id_col, text_col), "near-pairs")
+    more = written(_again(members, labels, classes, docs, id_col, text_col), "near-links")
     if more.limit(1).count():
-        links = written(links.unionByName(_verified(more, docs, id_col, text_col)).distinct(), "near-links")
+        links = written(links.unionByName(more).distinct(), "near-links")
         labels = components(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
     # only classes with copies or links differ from "a document on its own"
