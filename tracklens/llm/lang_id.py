@@ -88,6 +88,16 @@ class Model:
             sums[some] = np.add.reduceat(logp, starts[some], axis=0, dtype=np.float64)
         return -sums / np.maximum(lengths, 1)[:, None], lengths
 
+    def judge(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the language (that after the last: none), score, entropy and acceptance of each text."""
+        entropy, n = self.entropies(texts)
+        at = np.arange(len(texts))
+        best = entropy.argmin(axis=1)
+        low, none = entropy[at, best], n == 0
+        score = np.where(none, 1.0, posterior(entropy, n, self.temperature)[at, best])
+        accepted = ~none & ((n < REJECT_LETTERS) | (low <= self.cutoff[best]))
+        return np.where(none, len(self.langs), best), score, low, accepted
+
     def _logp(self, keys: np.ndarray) -> np.ndarray:
         out, missing = _rows(self.tri, self.tri_logp, keys)
         if len(missing):
@@ -245,18 +255,29 @@ def identify(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
-                texts = [codes(t) for t in part.column(kept).to_pylist()]
-                entropy, n = own.entropies(texts)
-                none = n == 0
-                best = entropy.argmin(axis=1)
-                low = entropy[np.arange(len(best)), best]
-                score = np.where(none, 1.0, posterior(entropy, n, own.temperature)[np.arange(len(best)), best])
-                accepted = ~none & ((n < REJECT_LETTERS) | (low <= own.cutoff[best]))
-                yield pa.RecordBatch.from_arrays([*part.columns[:kept], pa.array(names[np.where(none, len(own.langs), best)]), pa.array(score), pa.array(low, mask=none), pa.array(accepted)], names=[f.name for f in schema])
+                best, score, low, accepted = own.judge([codes(t) for t in part.column(kept).to_pylist()])
+                none = best == len(own.langs)
+                yield pa.RecordBatch.from_arrays([*part.columns[:kept], pa.array(names[best], pa.string()), pa.array(score), pa.array(low, mask=none), pa.array(accepted)], names=[f.name for f in schema])
 
     return rows.mapInArrow(run, schema)
 
 
+def accepted(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose language is identified and not rejected."""
+    if model is None:
+        return docs.limit(0)
+    held, at_text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
+                keep = held.value.judge([codes(t) for t in part.column(at_text).to_pylist()])[3]
+                yield part.filter(pa.array(keep))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def fold(id_col: str, folds: int) -> Column:
     """The CRC-32 of the id as text, modulo ``folds``."""
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(folds))
