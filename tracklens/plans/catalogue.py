@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("timelines",)
+_MODULES = ("timelines", "identities")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
