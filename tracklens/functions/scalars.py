@@ -62,10 +62,10 @@ def finite(x: Column | str) -> Column:
 
 
 def nearest_multiple(x: Column | str, patch: int) -> Column:
-    """Nearest multiple of ``patch``, the upper one on ties, one patch at least."""
+    """Nearest multiple of ``patch``, the upper one on ties, 1 at least."""
     x = col(x)
     below = F.floor(x / patch) * patch
-    return F.greatest(F.when(x - below < below + patch - x, below).otherwise(below + patch), F.lit(patch)).cast("int")
+    return F.greatest(F.when(x - below < below + patch - x, below).otherwise(below + patch), F.lit(1)).cast("int")
 
 
 def dot(a: Column | str, b: Column | str) -> Column:
@@ -133,3 +133,22 @@ def centered_indices(center: Column, n: Column, count: int) -> Column:
     """``count`` neighbouring positions around ``center``, the edge repeated outside 0..n-1."""
     half = count // 2
     return F.transform(F.sequence(F.lit(-half), F.lit(count - half - 1)), lambda d: clamp(center + d, 0, n - 1))
+
+
+def rotary_value(pos: Column, dim: Column, side: int, hidden: int, scale: float = 1.0) -> Column:
+    """Value ``dim`` of the rotary-style table at grid position ``pos``: rows first, sines before cosines."""
+    quarter = hidden // 4
+    coordinate = F.when(dim < 2 * quarter, F.floor(pos / side)).otherwise(pos % side)
+    return _wave(coordinate, dim % (2 * quarter), quarter) * scale
+
+
+def sincos_value(pos: Column, dim: Column, side: int, hidden: int, scale: float = 1.0) -> Column:
+    """Value ``dim`` of the 2-D sine-cosine table at grid position ``pos``: columns first, sines before cosines."""
+    quarter = hidden // 4
+    coordinate = F.when(dim < 2 * quarter, pos % side).otherwise(F.floor(pos / side))
+    return _wave(coordinate, dim % (2 * quarter), quarter) * scale
+
+
+def _wave(coordinate: Column, at: Column, quarter: int) -> Column:
+    angle = coordinate * F.pow(F.lit(10000.0), -(at % quarter) / quarter)
+    return F.when(at < quarter, F.sin(angle)).otherwise(F.cos(angle))

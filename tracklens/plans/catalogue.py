@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("timelines", "identities")
+_MODULES = ("timelines", "identities", "geometry", "selections")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
