@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("timelines", "identities", "geometry", "selections")
+_MODULES = ("timelines", "identities", "geometry", "selections", "streams")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
