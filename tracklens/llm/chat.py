@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -104,19 +105,21 @@ def paths(messages: DataFrame, per_conversation: int | None = 1) -> DataFrame:
         return left.join(right, same("conv_id", "r_conv") & (F.col(left_id) == F.col("r_id")), how).drop("r_conv", "r_id")
 
     # up: the ancestor at the current distance; total and steps: score and length of the way there
-    state = over(nodes, known, "parent_id", "parent_id", "left").select("conv_id", "msg_id", F.when(F.col("found") == 1, F.col("parent_id")).alias("up"), F.col("score").alias("total"), F.lit(1).alias("steps"))
-    jumps = []
-    state = written(state, "chat-paths")
-    limit, most = 1, messages.count()
-    while state.where("up IS NOT NULL").limit(1).count():
-        jumps.append(state.select("conv_id", "msg_id", "up").where("up IS NOT NULL"))
-        ahead = state.select("conv_id", F.col("msg_id").alias("a_id"), F.col("up").alias("a_up"), F.col("total").alias("a_total"), F.col("steps").alias("a_steps"))
-        joined = over(state, ahead, "up", "a_id", "left")
-        state = written(joined.select("conv_id", "msg_id", F.col("a_up").alias("up"), (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total"), (F.col("steps") + F.coalesce("a_steps", F.lit(0))).alias("steps")), "chat-paths")
+    first = over(nodes, known, "parent_id", "parent_id", "left").select("conv_id", "msg_id", F.when(F.col("found") == 1, F.col("parent_id")).alias("up"), F.col("score").alias("total"), F.lit(1).alias("steps"))
+    first = written(first, "chat-paths")
+    # messages that have reached their root stay as they are; each round joins only the others
+    ended, going = [first.where("up IS NULL")], first.where("up IS NOT NULL")
+    jumps, limit, most = [], 1, first.count()
+    while limit <= most and going.limit(1).count():  # only a cycle has more ancestors than there are messages
+        jumps.append(going.select("conv_id", "msg_id", "up"))
+        every = reduce(DataFrame.unionByName, [*ended, going])
+        ahead = every.select("conv_id", F.col("msg_id").alias("a_id"), F.col("up").alias("a_up"), F.col("total").alias("a_total"), F.col("steps").alias("a_steps"))
+        joined = over(going, ahead, "up", "a_id", "inner")
+        after = written(joined.select("conv_id", "msg_id", F.col("a_up").alias("up"), (F.col("total") + F.col("a_total")).alias("total"), (F.col("steps") + F.col("a_steps")).alias("steps")), "chat-paths")
+        ended.append(after.where("up IS NULL"))
+        going = after.where("up IS NOT NULL")
         limit *= 2
-        if limit > most:  # only a cycle has more ancestors than there are messages
-            state = state.where("up IS NULL")
-            break
+    state = reduce(DataFrame.unionByName, ended)
     parents = nodes.select("conv_id", F.col("parent_id").alias("p")).where("p IS NOT NULL").distinct()
     leaves = over(state, parents, "msg_id", "p", "left_anti")
     if per_conversation is not None:

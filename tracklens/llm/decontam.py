@@ -25,6 +25,7 @@ Defined results
     several windows          the best one (then the first) of a (document, item)
                              pair is reported
     repeated rows            rows with equal ids are reported once together
+    null ids                 such rows are not reported
     empty table              an empty result
     extra columns            ignored
 """

@@ -17,7 +17,8 @@ Defined results
                          ordered by start, then by kind as listed
     repeated rows        one output row per input row
     empty table          an empty result
-    extra columns        kept; the added column is ``spans`` (or the name given)
+    extra columns        kept; only one named like the added column (``spans``, or
+                         the name given) is replaced
 """
 
 from __future__ import annotations
@@ -113,8 +114,8 @@ def _found(text: Column, kind: Kind) -> Column:
 
 def with_spans(docs: DataFrame, text_col: str = "text", out_col: str = "spans") -> DataFrame:
     """``docs`` plus an array of ``SPAN`` in code points (end exclusive), ordered by start and kind."""
-    found = F.concat(*[_found(F.col("__t"), k) for k in KINDS])
-    return docs.withColumn("__t", F.coalesce(F.col(text_col), F.lit(""))).withColumn(out_col, F.array_sort(found)).drop("__t")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.withColumn(out_col, F.array_sort(F.concat(*[_found(text, k) for k in KINDS])))
 
 
 def joined(spans: Column) -> Column:
