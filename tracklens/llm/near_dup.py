@@ -56,8 +56,10 @@ REGISTERS = BANDS * ROWS
 BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 #: Log-likelihood that the threshold may lie below the best estimate.
 MAX_LOSS = 10.0
-#: Classes of one bucket that are compared in blocks inside one task.
-BLOCK_ROWS = 1024
+#: Equal registers below which a similarity at the threshold is out of question (6.5 standard deviations).
+LEAST_EQUAL = 64
+#: Classes of one bucket that are compared inside one task.
+BLOCK_ROWS = 8192
 #: Distinct words that a task remembers before it starts afresh.
 MEMO_WORDS = 200_000
 
@@ -230,8 +232,8 @@ def components(links: DataFrame) -> DataFrame:
 def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Verified links (a, b) of classes in one bucket but different components.
 
-    The pairs of a bucket are looked at inside the task that holds it; only
-    verified links come out.
+    The pairs of a bucket are looked at inside the task that holds it; components
+    grow as links are found, and only links that join two of them come out.
     """
     known = members.where("size > 2").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     split = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
@@ -249,11 +251,15 @@ def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: Data
         for i in range(len(rows) - 1):
             j = slice(i + 1, len(rows))
             maybe = np.flatnonzero((labels[j] != labels[i]) & (np.minimum(n[j], n[i]) * whole >= np.maximum(n[j], n[i]) * part)) + i + 1
+            maybe = maybe[(regs[maybe] == regs[i]).sum(axis=1) >= LEAST_EQUAL]
             if len(maybe):
                 x, y = regs[i], regs[maybe]
-                for k in maybe[reachable((x > y).sum(axis=1), (x < y).sum(axis=1), np.full(len(maybe), float(n[i])), n[maybe].astype(float))]:
-                    if similar(sets(i), sets(int(k))):
-                        yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
+                maybe = maybe[reachable((x > y).sum(axis=1), (x < y).sum(axis=1), np.full(len(maybe), float(n[i])), n[maybe].astype(float))]
+            for k in maybe.tolist():
+                # a link within a component that has just grown adds nothing
+                if labels[k] != labels[i] and similar(sets(i), sets(k)):
+                    labels[labels == labels[k]] = labels[i]
+                    yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -316,7 +322,8 @@ def _by_prefix(members: DataFrame, docs: DataFrame, id_col: str, text_col: str)
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``n_links`` of every document.
 
-    ``n_links`` counts the verified links of the document's class to other classes.
+    ``n_links`` counts the links of the document's class that were verified; links
+    inside a component that is known already are not sought, so it is no degree.
     """
     rows = written(sketched(docs, id_col, text_col), "near-sketch", codec="none")
     classes = written(
