@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import Lift, Refinement
 from ..functions import scalars
@@ -170,7 +171,7 @@ def q58_mask_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("clip", "segment_id", "before", "after", F.bit_count(F.col("before").bitwiseXOR(F.coalesce("after", F.lit(0).cast("long")))).alias("changed"))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _blob(values: pd.Series) -> pd.Series:
     def one(x) -> bytes:
         grid = np.asarray(x, float).reshape(8, 8)
