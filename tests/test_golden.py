@@ -275,3 +275,16 @@ def test_gather(spark):
 def test_html_table(spark):
     page = reports.html_table(spark.createDataFrame([("<b>", 0.5, None)], "name string, score double, n int"), "r")
     assert "&lt;b&gt;" in page and "0.500" in page and "<td>-</td>" in page
+
+
+def test_image_kernels():
+    image = np.full((4, 6, 3), 200, np.uint8)
+    mask = np.zeros((4, 6), bool)
+    mask[1:3, 2:5] = True
+    assert kernels.masked_image(image, mask)[0].max() == 0 and kernels.masked_image(image, mask)[1, 2, 0] == 200
+    assert kernels.masked_image(image, None).max() == 0
+    assert kernels.side_by_side(image, np.zeros((2, 5, 3), np.uint8)).shape == (4, 16, 3)
+    assert kernels.mask_from_gray(np.array([[127, 128]], np.uint8), 2, 2).tolist() == [[False, True]] * 2
+    assert kernels.crop_box(mask) == (2, 1, 5, 3) and kernels.crop_box(~mask & mask) is None
+    assert kernels.percentile_colors(np.array([[1.0, 2.0], [3.0, np.nan]]))[1, 1] == 0
+    assert kernels.overlay(image, mask, (0, 0, 0), 0.5)[1, 2].tolist() == [100, 100, 100]
