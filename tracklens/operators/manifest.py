@@ -47,7 +47,7 @@ def pair_reasons(pairs_: DataFrame, stream: DataFrame, rules: Rules) -> DataFram
 def window_reasons(pairs_: DataFrame, stream: DataFrame, conflicts: DataFrame, rules: Rules, keys: list[str]) -> DataFrame:
     """All windows of the pairs that are left, with counts and the first failing rule."""
     last = (rules.frames - rules.window) // rules.stride
-    spine = pairs_.where("drop_reason IS NULL").drop("drop_reason").withColumn("clip_index", F.explode(F.sequence(F.lit(1), F.lit(last + 1))))
+    spine = pairs_.where("drop_reason IS NULL").where(F.lit(last >= 0)).drop("drop_reason").withColumn("clip_index", F.explode(F.sequence(F.lit(1), F.lit(last + 1))))
     spine = spine.withColumn("start_idx", (F.col("clip_index") - 1) * rules.stride).withColumn("end_idx", F.col("start_idx") + rules.window)
     # distinct frames with a valid row, by modality, for each target and window: one pass over the stream
     measures = {f"n_{m}": F.countDistinct(F.when(F.col("modality") == m, F.col("frame"))) for m, _ in rules.modalities}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,6 +158,11 @@ def q33_missing_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STREAM = "s AS (SELECT member, frame, arg_max(modality, event_id) AS modality, arg_max(value, event_id) AS value FROM track GROUP BY 1, 2)"
 
 
+def _horizon(spark: SparkSession, sf_dir: str) -> int:
+    """Frames up to the last one of any track; 0 without events."""
+    return v.track(spark, sf_dir).agg(F.max("frame") + 1).first()[0] or 0
+
+
 def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.last_writer(v.track(spark, sf_dir), ["member", "frame"], ["event_id"], ["modality", "value"])
 
@@ -194,7 +201,7 @@ FROM w JOIN track ON frame >= (clip_index - 1) * 3 AND frame < (clip_index - 1)
 def q38_window_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.col("modality") != "error"
     measures = {"valid": F.countDistinct(F.when(good, F.col("frame"))), "mean_value": F.avg(F.when(good, F.col("value")))}
-    counts = tl.window_counts(v.track(spark, sf_dir), ["member"], "frame", 6, 3, measures).where("clip_index <= 39")
+    counts = tl.window_counts(v.track(spark, sf_dir), ["member"], "frame", 6, 3, measures).where((F.col("clip_index") - 1) * 3 + 6 <= _horizon(spark, sf_dir))
     return counts.select("member", "clip_index", "valid", F.round(F.col("valid") / 6, 6).alias("ratio"), F.round("mean_value", 6).alias("mean_value"))
 
 
@@ -245,7 +252,7 @@ def q42_conflicted_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.conflicted_chunks(_attempts(spark, sf_dir), ["scene"])
 
 
-#: Event types as modalities, and the windows of the flagship.
+#: Event types as modalities, and the windows of the flagship; ``_windows`` takes the frames from the data.
 RULES = mf.Rules(
     frames=v.FRAMES,
     window=6,
@@ -258,7 +265,7 @@ RULES = mf.Rules(
 
 
 def _members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = v.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("member")).where("member < 1500")
+    ids = v.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("member"))
     seen = v.track(spark, sf_dir).select("member").distinct()
     return ids.join(seen, "member", "full_outer").select("member", F.floor(F.col("member") / 3).cast("long").alias("scene"), (F.col("member") % 3 + 1).cast("int").alias("camera"))
 
@@ -272,7 +279,8 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     chunk = F.floor(F.col("frame") / v.CHUNK_FRAMES)
     bad = stream.where("modality = 'error'").groupBy("member", chunk.alias("chunk")).count().where("count >= 2")
     bad = bad.select("member", (F.col("chunk") * v.CHUNK_FRAMES).cast("int").alias("start_frame"), ((F.col("chunk") + 1) * v.CHUNK_FRAMES).cast("int").alias("end_frame"))
-    return mf.window_reasons(_pairs(spark, sf_dir), stream, bad, RULES, ["scene"])
+    rules = dataclasses.replace(RULES, frames=_horizon(spark, sf_dir))
+    return mf.window_reasons(_pairs(spark, sf_dir), stream, bad, rules, ["scene"])
 
 
 _PAIRS = f"""{v.TRACK}, mem AS (SELECT coalesce(c.member, t.member) AS member FROM (SELECT c_custkey AS member FROM customer WHERE c_custkey < 1500) c FULL JOIN (SELECT DISTINCT member FROM track) t USING (member)),
