@@ -2,17 +2,13 @@
 
 1. Texts and items become words (lower case, letters and digits). A text's
    5-word shingles meet the items' shingles; where one is shared, the window of
-   the item's size that would align the two is a candidate window. A window
-   that shares no shingle with an item cannot be similar to it, so this loses
-   nothing.
-2. Each item and each candidate window gets a 64-bit SimHash of its words and
-   shingles.
-3. Fingerprints are cut into ``RADIUS + 1`` blocks. Two fingerprints within
-   ``RADIUS`` agree in at least one block, so joining windows and items of one
-   size on (size, block number, block value) finds them all; a pair is taken up
-   in its first equal block only, and its distance is checked.
-4. The pairs are verified by the exact weighted Jaccard similarity of their
+   the item's size that would align the two is a candidate window of this item.
+   A window that shares no shingle with an item cannot be similar to it, so this
+   loses nothing.
+2. Every candidate is verified by the exact weighted Jaccard similarity of the
    shingles, a shingle's weight being its number of occurrences.
+3. The 64-bit SimHashes of words and shingles give the reported distance. They
+   decide nothing: similar windows lie beyond any radius with some probability.
 
 The items' tables are broadcast only while they have at most
 ``common.BROADCAST_ROWS`` rows, else they are shuffled.
@@ -39,8 +35,9 @@ from .common import bounded_broadcast, let, written
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.75
-RADIUS = 15
 BITS = 64
+#: Blocks of fingerprints that find all within ``RADIUS``. ``leaks`` does not use them, as they lose windows of similarity 0.75.
+RADIUS = 15
 _BLOCKS = RADIUS + 1
 _WIDTH = BITS // _BLOCKS
 
@@ -77,25 +74,6 @@ def _features(own: Column, hashes: Column) -> Column:
     return F.concat(F.transform(own, lambda w: F.xxhash64(w, F.lit("word"))), hashes)
 
 
-def _block(fingerprint: Column, no: Column | int) -> Column:
-    shift = no * _WIDTH if isinstance(no, int) else None
-    return F.shiftrightunsigned(fingerprint, shift).bitwiseAND(F.lit((1 << _WIDTH) - 1))
-
-
-def _blocks(fingerprint: Column) -> Column:
-    """Rows (no, value) of the blocks of a fingerprint."""
-    return F.posexplode(F.array(*[_block(fingerprint, k) for k in range(_BLOCKS)]))
-
-
-def _first_equal(a: Column, b: Column) -> Column:
-    """Number of the first block in which two fingerprints agree."""
-    x = a.bitwiseXOR(b)
-    out = F.lit(None).cast("int")
-    for k in reversed(range(_BLOCKS)):
-        out = F.when(_block(x, k) == 0, k).otherwise(out)
-    return out
-
-
 def weighted_jaccard(a: Column, b: Column) -> Column:
     """Sum of the lesser weights over sum of the greater ones; a weight counts occurrences."""
 
@@ -112,24 +90,23 @@ def weighted_jaccard(a: Column, b: Column) -> Column:
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, start, n_words, similarity, distance``: the best window of each leaked (document, item)."""
     items = items.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("w")).where(F.size("w") > 0)
-    items = items.withColumn("h", shingle_hashes(F.col("w"))).select("item_id", F.size("w").alias("n_words"), "h", simhash(_features(F.col("w"), F.col("h"))).alias("item_print"))
+    items = items.withColumn("h", shingle_hashes(F.col("w"))).select(F.monotonically_increasing_id().alias("item_key"), "item_id", F.size("w").alias("n_words"), "h", simhash(_features(F.col("w"), F.col("h"))).alias("item_print"))
     items = written(items, "decontam-items")
-    lookup = bounded_broadcast(items.select("n_words", F.posexplode("h").alias("offset", "shingle")).distinct())
+    lookup = bounded_broadcast(items.select("item_key", "n_words", F.posexplode("h").alias("offset", "shingle")))
 
     texts = docs.select(F.col(id_col).alias("doc_id"), words(F.col(text_col)).alias("w"))
     hits = texts.select("doc_id", F.posexplode(shingle_hashes(F.col("w"))).alias("at", "shingle")).join(lookup, "shingle")
-    windows = written(hits.select("doc_id", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"), "n_words").distinct(), "decontam-windows")
+    windows = written(hits.select("doc_id", F.greatest(F.col("at") - F.col("offset"), F.lit(0)).alias("start"), "n_words", "item_key").distinct(), "decontam-windows")
     # the words of hit documents only, cut to their windows
     hit_docs = bounded_broadcast(windows.select("doc_id").distinct())
     hit_texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("t")).join(hit_docs, "doc_id", "left_semi")
-    cut = windows.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words")).alias("at")).join(hit_texts, "doc_id").select("doc_id", words(F.col("t")).alias("w"), "at")
-    cut = cut.select("doc_id", F.explode(let(F.col("w"), lambda own: F.transform("at", lambda p: F.struct(p["start"].alias("start"), p["n_words"].alias("n_words"), F.slice(own, p["start"] + 1, p["n_words"]).alias("w"))))).alias("p"))
-    cut = cut.select("doc_id", "p.start", "p.n_words", "p.w").withColumn("doc_h", shingle_hashes(F.col("w")))
-    prints = written(cut.select("doc_id", "start", "n_words", "doc_h", simhash(_features(F.col("w"), F.col("doc_h"))).alias("doc_print")), "decontam-prints")
-
-    index = bounded_broadcast(items.select("item_id", "n_words", F.col("h").alias("item_h"), "item_print", _blocks(F.col("item_print")).alias("no", "value")))
-    probed = prints.select("*", _blocks(F.col("doc_print")).alias("no", "value")).join(index, ["n_words", "no", "value"])
-    near = probed.where((_first_equal(F.col("doc_print"), F.col("item_print")) == F.col("no")) & (F.bit_count(F.col("doc_print").bitwiseXOR(F.col("item_print"))) <= RADIUS))
-    scored = near.select("doc_id", "item_id", "start", "n_words", weighted_jaccard(F.col("doc_h"), F.col("item_h")).alias("similarity"), F.bit_count(F.col("doc_print").bitwiseXOR(F.col("item_print"))).alias("distance")).where(F.col("similarity") >= SIMILARITY)
+    cut = windows.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n_words", "item_key")).alias("at")).join(hit_texts, "doc_id").select("doc_id", words(F.col("t")).alias("w"), "at")
+    cut = cut.select("doc_id", F.explode(let(F.col("w"), lambda own: F.transform("at", lambda p: F.struct(p["start"].alias("start"), p["n_words"].alias("n_words"), p["item_key"].alias("item_key"), F.slice(own, p["start"] + 1, p["n_words"]).alias("w"))))).alias("p"))
+    cut = written(cut.select("doc_id", "p.start", "p.n_words", "p.item_key", "p.w"), "decontam-cut").withColumn("doc_h", shingle_hashes(F.col("w")))
+
+    index = bounded_broadcast(items.select("item_key", "item_id", F.col("h").alias("item_h"), "item_print"))
+    similar = cut.join(index, "item_key").withColumn("similarity", weighted_jaccard(F.col("doc_h"), F.col("item_h"))).where(F.col("similarity") >= SIMILARITY)
+    distance = F.bit_count(simhash(_features(F.col("w"), F.col("doc_h"))).bitwiseXOR(F.col("item_print")))
+    scored = similar.select("doc_id", "item_id", "start", "n_words", "similarity", distance.alias("distance"))
     best = F.min_by(F.struct("start", "n_words", "similarity", "distance"), F.struct(-F.col("similarity"), F.col("start")))
     return scored.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.start", "b.n_words", "b.similarity", "b.distance")
