@@ -14,6 +14,8 @@ Defined results
     damaged stream  bytes up to the next confirmed header are skipped and
                     counted in ``resyncs``; frames with a wrong checksum are
                     counted in ``crc_bad`` and kept
+    ``TAG`` bytes   an ID3v1 tag is only what follows the last frame; payload
+                    that looks like one stays payload
     repeated rows   one output row per input row, equal texts equal values
     extra columns   dropped unless listed in ``keep``
 """
@@ -145,13 +147,15 @@ def parse(data: bytes) -> dict:
     while data[at : at + 3] == b"ID3" and len(data) >= at + 10:
         size = _unsynchsafe(data[at + 6 : at + 10])
         found = data.find(OWNER, at + 10, at + 10 + size)
-        if found >= 0:
+        if 0 <= found <= len(data) - len(OWNER) - 20:
             tag = struct.unpack_from(">QQI", data, found + len(OWNER))
         at += 10 + size
-    end = len(data) - 128 if data[-128:-125] == b"TAG" else len(data)
+    end = len(data)
     offsets, heads, bad, resyncs, xing = [], [], 0, 0, None
     lost = False
     while at + 4 <= end:
+        if at == len(data) - 128 and data[at : at + 3] == b"TAG":  # reached between frames, so no frame holds it
+            break
         head = header(data[at : at + 4])
         fits = head is not None and at + head.length <= end
         if fits and lost:  # confirm by the checksum or by what follows
@@ -160,9 +164,12 @@ def parse(data: bytes) -> dict:
         if not fits:
             resyncs += not lost
             lost = True
-            at = data.find(b"\xff", at + 1, end)
-            if at < 0:
+            after = data.find(b"\xff", at + 1, end)
+            if data[-128:-125] == b"TAG" and at < len(data) - 128 < (after if after >= 0 else end):
+                after = len(data) - 128
+            if after < 0:
                 break
+            at = after
             continue
         lost = False
         side_at = at + 4 + 2 * head.protected

@@ -14,6 +14,7 @@ def op5_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = written(media.encode(docs), "media")
     size = F.col("payload_bytes")
     back = media.decode(stored.withColumn("stream", F.col("media")), "stream", keep=("doc_id", "media")).withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    level = F.coalesce(F.try_divide("level", size), F.lit(0.0))
     return back.select(
         "doc_id",
         "n_bytes",
@@ -22,9 +23,12 @@ def op5_mpeg_audio(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.crc32(F.substring("payload", F.octet_length("payload") - 63, 64)).alias("tail_crc32"),
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
-        F.format_string("mpeg1l3 rate=%d frames=%d samples=%d duration_us=%d kbps=%d vbr=%s crc_bad=%d resyncs=%d payload_ok=%s level=%.3f", "rate", "frames", "samples", "duration_us", "mean_kbps", "vbr", "crc_bad", "resyncs", "payload_ok", F.col("level") / size).alias("feature"),
+        F.format_string(
+            "mpeg1l3 rate=%d frames=%d samples=%d duration_us=%d kbps=%d vbr=%s crc_bad=%d resyncs=%d payload_ok=%s level=%.3f",
+            *("rate", "frames", "samples", "duration_us", "mean_kbps", "vbr", "crc_bad", "resyncs", "payload_ok", level),
+        ).alias("feature"),
         "duration_us",
-        F.size("seek_offsets").alias("n_seek_offsets"),
+        "seek_offsets",
     )
 
 
