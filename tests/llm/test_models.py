@@ -117,8 +117,10 @@ def test_near_duplicates_on_tables(spark):
 
 
 def test_near_duplicates_large_buckets(spark, tmp_path, monkeypatch):
-    """The exact way for buckets above the bound gives the same components."""
+    """Buckets cut into many blocks, broadcast ones and salted pairs give the same components."""
     monkeypatch.setattr(near_dup, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(near_dup, "SALT_ROWS", 2)
+    monkeypatch.setattr(near_dup, "HOT_BUCKETS", 200)
     rows = near_rows()
     out = q06_near_dup.op6_near_dup(spark, saved(docs_of(spark, rows), tmp_path)).collect()
     assert {r.doc_id: (r.component_id, r.n_shingles) for r in out} == brute_components(rows)
@@ -306,6 +308,25 @@ def test_pipeline_odd_rows(spark, tmp_path):
     assert next(r.text for r in out if r.doc_id == 4) == "call [PHONE] now please the"
 
 
+def test_pipeline_rows_not_ids(spark, tmp_path):
+    """Repeated and null ids: stages decide by the row and its text."""
+    benchmark = spark.read.parquet(f"{DATA}/benchmark.parquet")
+    item = benchmark.orderBy("item_id").first().text
+    en = [r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").where("lang = 'en' AND length(text) BETWEEN 300 AND 2000").orderBy("doc_id").limit(6).collect()]
+    a, b, c, d, e = ("\n".join(f"{t} part {k}" for k in range(3)) for t in en[:5])
+    rows = [(1, a), (7, a), (7, b), (None, a), (None, c), (8, d), (8, d), (9, e), (None, f"{e} {item}"), (5, item), (9, item)]
+    docs = docs_of(spark, [(None, None)]).select("doc_id", "text").limit(0).unionByName(spark.createDataFrame(rows, "doc_id long, text string"))
+    kept = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, docs, DATA).collect())
+    assert kept[1, a] == 1 and kept[7, a] == 0 and kept[None, a] == 0  # copies of document 1
+    assert kept[7, b] == 1  # same id, another text
+    assert kept[None, c] == 1
+    assert kept[8, d] == 1  # equal rows: one stays
+    assert kept[5, item] == 1 and kept[9, item] == 0
+    clean = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.decontaminate(spark, docs, DATA).collect())
+    want = collections.Counter(r for r in rows if item not in r[1])
+    assert clean == want  # null ids that leak go, rows that share an id with a leak stay
+
+
 @pytest.mark.parametrize("name", ["op2_pii", "op5_mpeg_audio", "op10_vector_sharding"])
 def test_registered_once_per_operator(name):
     from tracklens.llm import queries

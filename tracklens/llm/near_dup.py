@@ -17,11 +17,14 @@ about the probability of their Jaccard similarity.
 4. Components of the links are found by label propagation with pointer jumping.
 5. Buckets whose classes are still in several components are looked at again, so
    that a link between two members that the least class does not resemble is not
-   lost: the pairs of one such bucket that lie in different components are
-   compared by their registers inside one task, those that can reach the
-   threshold are verified there, and only links come out. Buckets above
-   ``BLOCK_ROWS`` classes take another exact way: a prefix join on their rarest
-   shingles.
+   lost: pairs that lie in different components are compared by their registers
+   inside tasks, those that can reach the threshold are verified there, and only
+   links come out. A bucket is cut into blocks of bounded rows and shingles, one
+   task for each two blocks; blocks of the bucket's main component meet only the
+   blocks of the rest, so a large group with few others costs a linear number.
+
+Rows of one bucket, and pairs of one class, are never dealt to one task: the
+hottest buckets are joined by broadcast, the pairs of a hot class are salted.
 
 Defined results
     null or empty text, or white space   no shingles, linked with nothing, kept
@@ -31,6 +34,9 @@ Defined results
     null id                              never the id of a class; the row takes
                                          the component of its class
     repeated rows                        one output row per input row
+    ids                                  integers, else the cast raises; rows with
+                                         one id and two texts need a row number as
+                                         their id (the pipeline gives one)
     empty table                          an empty result
     extra columns                        ignored
 """
@@ -43,7 +49,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import bounded_broadcast, dropped, written
@@ -58,8 +64,12 @@ BASE, RATE, TOP = 1.001, 20.0, 2**16 - 1
 MAX_LOSS = 10.0
 #: Equal registers below which a similarity at the threshold is out of question (6.5 standard deviations).
 LEAST_EQUAL = 64
-#: Classes of one bucket that are compared inside one task.
-BLOCK_ROWS = 8192
+#: Classes and shingles of a block, about; a task holds two blocks of one bucket.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1_000_000
+#: Buckets with more than this share of all members are joined by broadcast; there are fewer than its inverse.
+HOT_BUCKETS = 2000
+#: Pairs of one class that go to one task, about.
+SALT_ROWS = 2000
 #: Distinct words that a task remembers before it starts afresh.
 MEMO_WORDS = 200_000
 
@@ -176,9 +186,22 @@ def _counts(a: list[bytes], b: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return (x > y).sum(axis=1), (x < y).sum(axis=1)
 
 
+def _both(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the columns of ``rows`` (cid, ...) for both, as ``x_a`` and ``x_b``.
+
+    A class may be the ``a`` of very many pairs: these are salted, its row is repeated.
+    """
+    hot = pairs.groupBy("a").agg(F.count("*").alias("c")).where(F.col("c") > SALT_ROWS).select("a", F.ceil(F.col("c") / SALT_ROWS).cast("int").alias("__parts"))
+    hot = bounded_broadcast(written(hot, "near-hot"))
+    side = lambda x: rows.select(*[F.col(c).alias(x if c == "cid" else f"{c}_{x}") for c in rows.columns])
+    salt = F.pmod(F.xxhash64("b"), F.coalesce("__parts", F.lit(1))).cast("int")
+    salted = pairs.join(hot, "a", "left").select("a", "b", salt.alias("__salt"))
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - 1))
+    return salted.join(side("b"), "b").join(side("a").join(hot, "a", "left").withColumn("__salt", salts).drop("__parts"), ["a", "__salt"])
+
+
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sizes and registers do not rule the threshold out."""
-    side = lambda x: classes.select(F.col("cid").alias(x), F.col("n").alias(f"n_{x}"), F.col("regs").alias(f"regs_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,7 +211,7 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 keep = reachable(*_counts(part.column("regs_a").to_pylist(), part.column("regs_b").to_pylist()), n_a, n_b)
                 yield part.select(["a", "b"]).filter(pa.array(keep))
 
-    joined = pairs.join(side("b"), "b").join(side("a"), "a").where(_sizes_allow("n_a", "n_b"))
+    joined = _both(pairs, classes.select("cid", "n", "regs")).where(_sizes_allow("n_a", "n_b"))
     return joined.select("a", "b", "n_a", "n_b", "regs_a", "regs_b").mapInArrow(run, "a long, b long")
 
 
@@ -196,7 +219,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
     """The pairs (a, b) that are similar, confirmed on the full sets of their texts."""
     wanted = bounded_broadcast(written(pairs.select(F.explode(F.array("a", "b")).alias("cid")).distinct(), "near-wanted"))
     texts = written(docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text")).join(wanted, "cid", "left_semi"), "near-texts")
-    side = lambda x: texts.select(F.col("cid").alias(x), F.col("text").alias(f"text_{x}"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = lru_cache(maxsize=64)(shingles)
@@ -206,7 +228,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                 keep = [similar(held(a), shingles(b)) for a, b in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)]
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(side("b"), "b").join(side("a"), "a").select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
+    return _both(pairs, texts).select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -229,28 +251,62 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _by_bucket(rows: DataFrame, buckets: DataFrame) -> DataFrame:
+    """``rows`` joined with ``buckets`` (bucket, size, ..., a written table) on the bucket, hot ones by broadcast."""
+    total = buckets.agg(F.sum("size")).first()[0] or 0
+    hot = F.col("size") * HOT_BUCKETS > total
+    heavy = F.broadcast(buckets.where(hot))
+    light = rows.join(heavy.select("bucket"), "bucket", "left_anti").join(buckets.where(~hot), "bucket")
+    return rows.join(heavy, "bucket").unionByName(light)
+
+
+def _blocks(rows: DataFrame, main: Column) -> list[Column]:
+    """Blocks that the rows of the main component, and those of the others, are cut into."""
+    return [F.greatest(F.ceil(F.count_if(own) / BLOCK_ROWS), F.ceil(F.sum(F.when(own, F.col("n")).otherwise(0)) / BLOCK_SHINGLES), F.lit(1)).cast("int") for own in (main, ~main)]
+
+
 def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Verified links (a, b) of classes in one bucket but different components.
 
-    The pairs of a bucket are looked at inside the task that holds it; components
-    grow as links are found, and only links that join two of them come out.
+    Components grow as links are found inside a task, and only links that join
+    two of them come out.
     """
-    known = members.where("size > 2").join(labels, "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    split = known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("bucket")
-    rest = written(known.join(split, "bucket"), "near-rest")
-    few = rest.where(F.col("size") <= BLOCK_ROWS)
-    wanted = bounded_broadcast(written(few.select("cid").distinct(), "near-wanted"))
+    known = members.where("size > 2").join(labels, "cid", "left").select("bucket", "cid", F.coalesce("label", "cid").alias("label"))
+    split = written(known.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).where("lo <> hi").select("bucket", "size"), "near-split")
+    rest = written(_by_bucket(known, split).join(classes.select("cid", "n", "regs"), "cid"), "near-rest")
+    groups = rest.groupBy("bucket", "label").agg(F.count("*").alias("c"))
+    main = written(groups.groupBy("bucket").agg(F.max_by("label", F.struct("c", -F.col("label"))).alias("main"), F.sum("c").alias("size")), "near-main")
+    rest = written(_by_bucket(rest.drop("size"), main), "near-rest")
+    is_main = F.col("label") == F.col("main")
+    cuts = rest.groupBy("bucket").agg(*[c.alias(name) for c, name in zip(_blocks(rest, is_main), ("mains", "others"), strict=True)], F.count("*").alias("size"))
+    placed = _by_bucket(rest.drop("size"), written(cuts, "near-cuts"))
+    own = F.pmod(F.xxhash64("cid", F.lit("block")), F.when(is_main, F.col("mains")).otherwise(F.col("others"))).cast("int")
+    placed = placed.withColumn("block", own).withColumn("is_main", is_main)
+
+    def pair(kind: int, x: Column, y: Column, side: Column) -> Column:
+        """A task of two blocks; rows of one side are not compared with each other, those of side -1 with all."""
+        return F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"), side.alias("side"))
+
+    block, none = F.col("block"), F.lit(-1)
+    with_main = F.transform(F.sequence(F.lit(0), F.col("mains") - 1), lambda i: pair(0, i, block, F.lit(1)))
+    among = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda k: pair(1, F.least(block, k), F.greatest(block, k), F.when(block == k, none).otherwise(block)))
+    of_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda k: pair(0, block, k, F.lit(0)))
+    small = (F.col("mains") == 1) & (F.col("others") == 1)
+    tasks = F.when(small, F.array(pair(2, F.lit(0), F.lit(0), none))).when(F.col("is_main"), of_main).otherwise(F.concat(with_main, among))
+    wanted = bounded_broadcast(written(rest.select("cid").distinct(), "near-wanted"))
     texts = docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text")).join(wanted, "cid", "left_semi")
-    few = few.join(classes.select("cid", "n", "regs"), "cid").join(texts, "cid").select("bucket", "cid", "label", "n", "regs", "text")
+    key = ["bucket", "kind", "x", "y"]
+    rows = placed.withColumn("t", F.explode(tasks)).select("bucket", "t.kind", "t.x", "t.y", "t.side", "cid", "label", "n", "regs").join(texts, "cid")
 
     def links_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         part, whole = THRESHOLD
-        ids, labels, n = (np.array([r[k] for r in rows]) for k in (1, 2, 3))
-        regs = np.frombuffer(b"".join(r[4] for r in rows), np.uint16).reshape(-1, REGISTERS)
-        sets = lru_cache(maxsize=None)(lambda k: shingles(rows[k][5]))
+        sides, ids, labels, n = (np.array([r[k] for r in rows]) for k in (4, 5, 6, 7))
+        regs = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(-1, REGISTERS)
+        sets = lru_cache(maxsize=len(rows))(lambda k: shingles(rows[k][9]))
         for i in range(len(rows) - 1):
             j = slice(i + 1, len(rows))
-            maybe = np.flatnonzero((labels[j] != labels[i]) & (np.minimum(n[j], n[i]) * whole >= np.maximum(n[j], n[i]) * part)) + i + 1
+            meet = (labels[j] != labels[i]) & ((sides[j] != sides[i]) | (sides[j] < 0))
+            maybe = np.flatnonzero(meet & (np.minimum(n[j], n[i]) * whole >= np.maximum(n[j], n[i]) * part)) + i + 1
             maybe = maybe[(regs[maybe] == regs[i]).sum(axis=1) >= LEAST_EQUAL]
             if len(maybe):
                 x, y = regs[i], regs[maybe]
@@ -271,56 +327,20 @@ def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: Data
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 for row in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
-                    if held and held[0][0] != row[0]:
+                    if held and held[0][:4] != row[:4]:
                         yield from flush()
                         held.clear()
                     held.append(row)
         yield from flush()
 
-    links = few.repartition("bucket").sortWithinPartitions("bucket", "cid").mapInArrow(run, "a long, b long")
-    many = rest.where(F.col("size") > BLOCK_ROWS)
-    if many.limit(1).count():
-        pairs = _by_prefix(many.select("cid", "label").distinct(), docs, id_col, text_col)
-        links = links.unionByName(_verified(written(pairs, "near-pairs"), docs, id_col, text_col))
-    return links.distinct()
-
-
-def _by_prefix(members: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """All pairs of members in different components that share one of their rarest shingles.
-
-    Two sets at the threshold share a shingle among the first
-    ``n - ceil(n * threshold) + 1`` when both are ordered by frequency. Members
-    of one component meet as a component, so a hot group costs no pairs.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 200):
-                part = batch.slice(at, 200)
-                sets = [shingles(t) for t in part.column(2).to_pylist()]
-                index = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                values = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(index)), part.column(1).take(pa.array(index)), pa.array(values.view(np.int64))], names=["cid", "label", "h"])
-
-    part, whole = THRESHOLD
-    texts = docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text")).join(members, "cid").select("cid", "label", "text")
-    rows = written(texts.mapInArrow(run, "cid long, label long, h long"), "near-prefix")
-    common = rows.groupBy("h").agg(F.count("*").alias("df"))
-    order = Window.partitionBy("cid").orderBy("df", "h")
-    sizes = rows.groupBy("cid").agg(F.count("*").alias("n"))
-    prefix = rows.join(common, "h").withColumn("at", F.row_number().over(order)).join(sizes, "cid").where(F.col("at") <= F.col("n") - F.ceil(F.col("n") * part / whole) + 1).where("df > 1")
-    prefix = written(prefix.select("cid", "label", "h", "n"), "near-prefix")
-    split = prefix.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("h")
-    shared = prefix.join(split, "h")
-    groups = shared.select("h", "label").distinct()
-    meets = groups.withColumnRenamed("label", "label_a").join(groups.withColumnRenamed("label", "label_b"), "h").where("label_a < label_b")
-    a, b = (shared.select("h", F.col("label").alias(f"label_{x}"), F.col("cid").alias(f"c_{x}"), F.col("n").alias(f"n_{x}")) for x in "ab")
-    pairs = meets.join(a, ["h", "label_a"]).join(b, ["h", "label_b"]).where(_sizes_allow("n_a", "n_b"))
-    return pairs.select(F.least("c_a", "c_b").alias("a"), F.greatest("c_a", "c_b").alias("b")).distinct()
+    dealt = rows.select(*key, "side", "cid", "label", "n", "regs", "text").repartition(*key).sortWithinPartitions(*key, "cid")
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``n_shingles``, ``component_id``, ``kept`` and ``n_links`` of every document.
+    """``doc_id``, ``n_shingles``, ``component_id``, ``kept``, ``n_links`` and ``copies`` of every document.
+
+    ``copies`` counts the rows with the document's set, itself included.
 
     ``n_links`` counts the links of the document's class that were verified; links
     inside a component that is known already are not sought, so it is no degree.
@@ -335,7 +355,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bands = F.array(*[F.xxhash64(F.lit(i), F.substring("regs", i * width + 1, width)) for i in range(BANDS)])
     keyed = classes.select("cid", F.explode(bands).alias("bucket"))
     buckets = keyed.groupBy("bucket").agg(F.min("cid").alias("rep"), F.count("*").alias("size")).where("size > 1")
-    members = written(keyed.join(buckets, "bucket"), "near-members")
+    members = written(_by_bucket(keyed, written(buckets, "near-buckets")), "near-members")
     pairs = members.where("cid <> rep").select(F.col("rep").alias("a"), F.col("cid").alias("b")).distinct()
     links = written(_verified(written(_likely(pairs, classes), "near-pairs"), docs, id_col, text_col), "near-links")
     labels = components(links)
@@ -346,6 +366,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     degree = links.select(F.explode(F.array("a", "b")).alias("cid")).groupBy("cid").agg(F.count("*").alias("links"))
     # only classes with copies or links differ from "a document on its own"
     joined = classes.select("set_key", "cid", "copies").join(labels, "cid", "left").join(degree, "cid", "left").where("copies > 1 OR label IS NOT NULL")
-    grouped = bounded_broadcast(written(joined.select("set_key", F.coalesce("label", "cid").alias("found"), F.coalesce("links", F.lit(0)).alias("n_links")), "near-grouped"))
+    grouped = bounded_broadcast(written(joined.select("set_key", F.coalesce("label", "cid").alias("found"), "copies", F.coalesce("links", F.lit(0)).alias("n_links")), "near-grouped"))
     component = F.coalesce("found", "doc_id")
-    return rows.select("doc_id", "n_shingles", "set_key").join(grouped, "set_key", "left").select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    return (
+        rows.select("doc_id", "n_shingles", "set_key")
+        .join(grouped, "set_key", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            component.alias("component_id"),
+            F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"),
+            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+            F.coalesce("copies", F.lit(1)).cast("long").alias("copies"),
+        )
+    )
