@@ -214,20 +214,100 @@ def test_automaton_and_trie():
         assert trie.within_one_edit(word) == (min(near) if near else None)
 
 
+def plain_features(lexicon, text):
+    """The features by direct rules: every edit distance computed, the context read anew for each hit."""
+    tokens = toxicity._TOKENS((text or "").lower())
+    words = [t for t in tokens if t[0].isalpha()]
+    near = [t for t in lexicon.words if len(t) >= 5 and lexicon.words[t] >= toxicity.FUZZY_WEIGHT]
+    stem_of = lambda w: next((w[:n] for n in (4, 5, 6) if len(w) >= n and w[:n] in lexicon.stems), None)
+    stems = collections.Counter(map(stem_of, words))
+    meant = quoted = strongest = used = 0
+    for at, w in enumerate(tokens):
+        if not w[0].isalpha():
+            continue
+        weight = lexicon.words.get(w, 0)
+        if stem_of(w) and stems[stem_of(w)] > 1:
+            weight = max(weight, lexicon.stems[stem_of(w)])
+        if w not in lexicon.words and w not in lexicon.innocent:
+            fits = sorted(t for t in near if abs(len(t) - len(w)) <= 1 and distance(t, w) <= 1)
+            weight = max(weight, 0.9 * lexicon.words[fits[0]] if fits else 0)
+        if not weight:
+            continue
+        depth = 0
+        for t in tokens[:at]:
+            if t == "\n":
+                depth = 0
+            elif t in "„«":
+                depth += 1
+            elif t in "”»":
+                depth = max(0, depth - 1)
+            elif t in '"“':
+                depth = depth - 1 if depth else 1
+        gaps = [abs(k - at) for k, t in enumerate(tokens) if t in toxicity.REPORTING and 0 < abs(k - at) <= 6]
+        share = 1 - 0.5**depth * (1 - (0.5 * (1 - (min(gaps) - 1) / 6) if gaps else 0))
+        used += 1
+        meant, quoted, strongest = meant + weight * (1 - share), quoted + weight * share, max(strongest, weight * (1 - share))
+    return [np.log1p(meant), np.log1p(quoted), used / max(1, len(tokens)), strongest]
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    data = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{data}/labels.parquet").where(q08_toxicity.fold("doc_id", 4) != 2)
+    return toxicity.learn(spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text"), labels)
+
+
+def test_toxicity_matches_plain(spark, learned):
+    """The scores of real and planted texts against a plain scorer."""
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:80]
+    texts += [None, "", 'she said: "such stpid trash"', "« idiot » „scum” lose loser\nclown wrote", "worthles worthlessly disgustin moronn"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.scored(rows, learned).collect()}
+    for i, text in enumerate(texts):
+        want = plain_features(learned, text)
+        assert [got[i][f] for f in toxicity.FEATURES] == pytest.approx(want, abs=1e-9), text
+        z = float(np.dot(want, learned.weights) + learned.bias)
+        assert got[i].score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-9)
+
+
+def test_toxicity_of_planted_words(learned):
+    """Misspelled terms count as toxic; quotations stay between abuse and nothing."""
+    score = lambda t: float(learned.scores(np.array([learned.features(t)]))[0])
+    none = score("a quiet day by the river")
+    assert (learned.weights >= 0).all() and none < 0.3
+    long = ("disgusting", "stupid", "pathetic", "worthless", "idiot", "trash", "clown", "loser", "moron")
+    assert set(long) <= set(learned.words)
+    for term in long:
+        clean = set()
+        for k in range(1, len(term)):
+            for wrong in (term[:k] + term[k + 1 :], term[:k] + "q" + term[k + 1 :], term[:k] + "q" + term[k:]):
+                if wrong in learned.innocent:
+                    clean.add(wrong)
+                elif wrong not in learned.words:
+                    assert score(f"you are {wrong} again") >= 0.3, wrong
+        assert len(clean) <= 2
+        meant, said = score(f"you are {term} again"), score(f'the report said "you are {term} again"')
+        assert none < said < meant
+        assert said < score(f'far from here "you are {term} again"') < meant
+
+
 def test_toxicity_accuracy(spark):
     data = "/root/testdata/sf0.1"
     out = q08_toxicity.op8_toxicity(spark, data).toPandas()
     m = out[out.held_out].merge(pd.read_parquet(f"{data}/labels.parquet"), on="doc_id")
-    assert m.toxic[m.predicted == 1].mean() > 0.9 and m.predicted[m.toxic == 1].mean() > 0.85
+    assert m.toxic[m.predicted == 1].mean() > 0.9 and m.predicted[m.toxic == 1].mean() > 0.9
     assert out.score.between(0, 1).all() and len(out) == spark.read.parquet(f"{data}/documents.parquet").count()
 
 
 def test_toxicity_context_and_odd_rows(spark):
-    lexicon = toxicity.Lexicon({"horrid": 3.0}, {"vile": 2.0})
-    plain = dict(zip(toxicity.FEATURES, lexicon.features("you horrid vileness horrjd"), strict=True))
-    assert plain["exact"] > 0 and plain["stem"] > 0 and plain["fuzzy"] > 0 and plain["quoted"] == 0
-    quoted = dict(zip(toxicity.FEATURES, lexicon.features('it reads "horrid thing" there'), strict=True))
-    assert quoted["quoted"] > 0 and quoted["exact"] == 0
+    lexicon = toxicity.Lexicon({"horrid": 4.0}, {"vile": 2.0})
+    names = (*toxicity.FEATURES, *toxicity.COUNTS)
+    plain = dict(zip(names, lexicon.features("you horrid vileness vilely horrjd"), strict=True))
+    assert (plain["exact"], plain["stem"], plain["fuzzy"], plain["quoted"]) == (1, 2, 1, 0)
+    once = dict(zip(names, lexicon.features("vileness"), strict=True))
+    assert once["stem"] == 0 and once["abuse"] == 0
+    quoted = dict(zip(names, lexicon.features('it reads "horrid thing" there'), strict=True))
+    assert 0 < quoted["quoted"] and quoted["abuse"] < plain["abuse"]
     rows = docs_of(spark, [(1, None), (2, ""), (3, "horrid " * 30_000), (3, "x"), (None, "y")])
     assert toxicity.scored(rows, lexicon).count() == 5
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 0)], "doc_id long, toxic int")
