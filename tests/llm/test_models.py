@@ -329,24 +329,83 @@ def test_language_accuracy(spark):
 
 
 def test_language_models_sum_to_one(spark):
+    """Over all characters and one never seen, also after contexts never seen."""
     model = lang_id.learn(spark.read.parquet(f"{DATA}/documents.parquet"))
-    context = lang_id.codes("th")[-2:]
-    letters = model.uni
-    keys = (context[0] << np.uint64(42)) | (context[1] << np.uint64(21)) | letters
-    total = np.exp(model._logp(keys)).sum(axis=0) + np.exp(model.floor + model.ctx_logw[np.searchsorted(model.ctx, np.uint64((int(context[0]) << 21) | int(context[1])))] + model.ctx_logw[np.searchsorted(model.ctx, context[1] | np.uint64(2**62))])
-    assert np.allclose(total, 1, atol=1e-3)
+    letters = np.append(model.uni.keys, np.uint64(0x10FFFF))
+    for start in ("th", "ñq", "\u4e00e", "\u4e00\u4e01"):
+        one, two = lang_id.codes(start)[-2:]
+        total = np.exp(model._logp((one << np.uint64(42)) | (two << np.uint64(21)) | letters)).sum(axis=0)
+        assert np.allclose(total, 1, atol=1e-3), start
+
+
+def plain_model(texts):
+    """log P(c | a, b) of an interpolated Kneser-Ney trigram model, by dictionaries."""
+    tri = collections.Counter(t for text in texts for c in [lang_id.codes(text).tolist()] for t in zip(c, c[1:], c[2:], strict=False))
+    bi = collections.Counter((b, c) for _, b, c in tri)
+    uni = collections.Counter(c for _, c in bi)
+
+    def discount(counts):
+        ones, twos = (sum(n == k for n in counts.values()) for k in (1, 2))
+        return ones / (ones + 2 * twos) if ones and twos else 0.5
+
+    d3, d2, d1 = map(discount, (tri, bi, uni))
+
+    def context(counts, size):
+        total, types = collections.Counter(), collections.Counter()
+        for key, n in counts.items():
+            total[key[:size]] += n
+            types[key[:size]] += 1
+        return total, types
+
+    (t3, k3), (t2, k2) = context(tri, 2), context(bi, 1)
+
+    def logp(a, b, c, alphabet):
+        p = d1 * len(uni) / sum(uni.values()) / alphabet + max(uni[c] - d1, 0) / sum(uni.values())
+        if t2[b,]:
+            p = d2 * k2[b,] / t2[b,] * p + max(bi[b, c] - d2, 0) / t2[b,]
+        if t3[a, b]:
+            p = d3 * k3[a, b] / t3[a, b] * p + max(tri[a, b, c] - d3, 0) / t3[a, b]
+        return np.log(p)
+
+    return logp
+
+
+def test_language_model_matches_plain(spark):
+    """Cross-entropies and predictions against dictionaries."""
+    r = random.Random(12)
+    texts = {lang: [" ".join("".join(r.choice(letters) for _ in range(r.randint(1, 6))) for _ in range(r.randint(1, 60))) for _ in range(60)] for lang, letters in (("xa", "abcde é"), ("xb", "abxyz\u0301"), ("xc", "\u0915\u093e\u0902qrs"))}
+    rows = [(i, t, lang) for i, (lang, t) in enumerate((lang, t) for lang, own in texts.items() for t in own)]
+    model = lang_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), calibrate_docs=0)
+    plain = {lang: plain_model(own) for lang, own in texts.items()}
+    alphabet = len({c for own in texts.values() for t in own for c in lang_id.codes(t)[2:].tolist()}) + 1
+    for text in [t[0] for t in texts.values()] + ["abc xyz", "\u0915\u093e ab", "ω"]:
+        c = lang_id.codes(text)
+        got, n = model.entropies([c])
+        c = c.tolist()
+        want = [-sum(plain[lang](a, b, x, alphabet) for a, b, x in zip(c, c[1:], c[2:], strict=False)) / n[0] for lang in model.langs]
+        assert got[0] == pytest.approx(want, rel=1e-4)
+
+
+def test_language_rejects_unlearned_texts(spark):
+    """Learned without English and with mislabelled texts, English is rejected and the others are kept."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    wrong = docs.where("lang = 'en'").orderBy("doc_id").limit(3).withColumn("lang", F.lit("de"))
+    model = lang_id.learn(docs.where("lang <> 'en'").unionByName(wrong))
+    out = lang_id.identify(docs.where("length(text) > 200"), model, keep=("doc_id", "lang")).toPandas()
+    assert out.accepted[out.lang == "en"].mean() < 0.05
+    assert out.accepted[out.lang.isin(model.langs)].mean() > 0.995
 
 
 def test_language_odd_rows(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     model = lang_id.learn(docs)
-    rows = docs_of(spark, [(1, None), (2, ""), (3, "123 !!"), (4, "語言識別是一個問題這是一個測試文本用來檢查拒絕的情況嗎是的"), (5, "the"), (5, "the"), (6, "and the " * 30_000)])
+    rows = docs_of(spark, [(1, None), (2, ""), (3, "123 !!"), (7, "½ ² Ⅷ ①"), (8, "\u0301 \u20dd"), (9, "\u0915\u093e"), (4, "語言識別是一個問題這是一個測試文本用來檢查拒絕的情況嗎是的"), (5, "the"), (5, "the"), (6, "and the " * 30_000)])
     got = collections.defaultdict(list)
     for r in lang_id.identify(rows, model).collect():
         got[r.doc_id].append((r.lang_pred, r.accepted))
-    assert got[1] == got[2] == got[3] == [("und", False)] and not got[4][0][1]
+    assert got[1] == got[2] == got[3] == got[7] == got[8] == [("und", False)] and got[9][0][0] != "und" and not got[4][0][1]
     assert got[5] == [("en", True)] * 2 and got[6] == [("en", True)]
-    assert {r.doc_id for r in lang_id.accepted(rows, model).collect()} == {5, 6}
+    assert {r.doc_id for r in lang_id.accepted(rows, model).collect()} - {9} == {5, 6}
     assert lang_id.accepted(rows, model).columns == rows.columns
     assert lang_id.learn(docs.where("lang IS NULL")) is None
     assert {r.lang_pred for r in lang_id.identify(rows, None).collect()} == {"und"} and lang_id.accepted(rows, None).count() == 0

@@ -1,18 +1,23 @@
 """Language identification by character language models (operator 9).
 
-One interpolated Kneser-Ney trigram model per language. All n-grams that any
-language has seen lie in one sorted array of packed keys (21 bits a character,
-so keys never collide), beside a matrix with the log probability of the n-gram
-in each language, every level of interpolation already resolved. A text is
-assigned the language of the lowest cross-entropy per character.
-
-Learning counts trigrams in Spark over a sample of at most about
-``DOCS_PER_LANG`` labelled documents a language (all of them where there are
-fewer), drawn by the hash of the id; the driver gets trigram types, whose number
-is bounded by that sample. A part of the sample is left out of the counts: it
-sets the temperature of the score and, for each language, the cross-entropy
-above which a text is rejected as not being in any learned language: what
-guessing among all characters costs, and no less than the hardest text plus one.
+One interpolated Kneser-Ney trigram model per language. Each level (trigrams,
+bigrams, single characters, and the weight that a context leaves to the level
+below) is a sorted array of packed keys (21 bits a character, so keys never
+collide); a key has entries only for the languages that have seen it, with all
+interpolation already resolved. A text is assigned the language of the lowest
+cross-entropy per character.
+
+Trigrams are counted in Spark over all labelled documents but a calibration
+sample of about ``CALIBRATE_DOCS`` documents a language, drawn by the hash of the
+id; the driver gets trigram types. The sample sets the temperature of the score
+and, for each language, the median cross-entropy, the spread of one character and
+a cutoff. A text's excess is its cross-entropy over the median, less what its
+length explains (three standard deviations of a mean of so many characters). A
+text is rejected where its excess is above the cutoff of its language: the middle
+between what 99 % of the language's own texts stay below and what 95 % of foreign
+texts (of all other languages, and guessed ones) exceed.
+
+Letters and combining marks make words; anything else separates them.
 
 Defined results
     null text, or no letter    ``und``, score 1, rejected
@@ -26,34 +31,35 @@ Defined results
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Labelled documents a language that the models learn from, about.
-DOCS_PER_LANG = 2000
-#: One in so many of these is kept out of the counts, for calibration.
-CALIBRATE_EVERY = 5
-#: Letters from which a text can be rejected for its cross-entropy.
-REJECT_LETTERS = 20
-#: Characters that count in the score at most, so that long texts stay comparable.
-SCORE_CHARS = 200
+#: Documents a language that are kept out of the counts, for calibration, about.
+CALIBRATE_DOCS = 400
+#: Quantiles of the excess of own and of foreign texts that the cutoff lies between.
+OWN_QUANTILE, FOREIGN_QUANTILE = 0.99, 0.05
+#: Standard deviations of the mean over its characters that a text's length explains.
+ALLOWED = 3.0
 UND = "und"
 
-_OTHER = re.compile(r"[\W\d_]+").sub
+_OTHER = regex.compile(r"[^\p{L}\p{M}]+").sub
+_LETTER = regex.compile(r"\p{L}").search
 _BITS = np.uint64(21)
+_MASK1, _MASK2 = np.uint64(2**21 - 1), np.uint64(2**42 - 1)
 
 
 def codes(text: str | None) -> np.ndarray:
-    """Code points of the lower-case letters, runs of anything else as one space, two spaces in front."""
-    plain = "  " + _OTHER(" ", (text or "").lower()).strip()
+    """Code points of the lower-case words, one space between, two in front; only these two without a letter."""
+    words = _OTHER(" ", (text or "").lower()).strip()
+    plain = "  " + (words if _LETTER(words) else "")
     return np.frombuffer(plain.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
@@ -61,31 +67,62 @@ def trigrams(c: np.ndarray) -> np.ndarray:
     return (c[:-2] << (_BITS * np.uint64(2))) | (c[1:-1] << _BITS) | c[2:]
 
 
+@dataclass
+class Level:
+    """Values of (key, language): sorted keys, where each key's entries start, and the entries."""
+
+    keys: np.ndarray
+    starts: np.ndarray
+    langs: np.ndarray
+    values: np.ndarray
+
+    @classmethod
+    def of(cls, parts: list[tuple[np.ndarray, np.ndarray]]) -> Level:
+        """From (keys, values) of each language."""
+        keys = np.concatenate([k for k, _ in parts])
+        langs = np.repeat(np.arange(len(parts)), [len(k) for k, _ in parts])
+        order = np.lexsort((langs, keys))
+        own, first = np.unique(keys[order], return_index=True)
+        values = np.concatenate([v for _, v in parts])[order].astype(np.float32)
+        return cls(own, np.append(first, len(order)), langs[order].astype(np.uint16), values)
+
+    def put(self, out: np.ndarray, wanted: np.ndarray, add: bool = False) -> None:
+        """Sets, or adds, the entries of the ``wanted`` keys in ``out`` (rows: keys, columns: languages)."""
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        rows = np.flatnonzero(self.keys[at] == wanted)
+        first = self.starts[at[rows]]
+        counts = self.starts[at[rows] + 1] - first
+        entry = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        cell = np.repeat(rows, counts), self.langs[entry]
+        if add:
+            out[cell] += self.values[entry]
+        else:
+            out[cell] = self.values[entry]
+
+
 @dataclass
 class Model:
     langs: list[str]
-    tri: np.ndarray  # sorted keys of three characters
-    tri_logp: np.ndarray  # rows as tri, columns as langs
-    ctx: np.ndarray  # sorted keys of two characters
-    ctx_logw: np.ndarray  # log weight that a context leaves to the lower order
-    bi: np.ndarray
-    bi_logp: np.ndarray
-    uni: np.ndarray
-    uni_logp: np.ndarray
+    tri: Level
+    ctx2: Level  # log weight that a context of two characters leaves to bigrams
+    bi: Level
+    ctx1: Level
+    uni: Level
     floor: np.ndarray  # log probability of a character never seen
     temperature: float = 1.0
-    cutoff: np.ndarray | None = None
+    normal: np.ndarray | None = None  # of each language: median cross-entropy and standard deviation of one character
+    cutoff: np.ndarray | None = None  # of the excess, in nats a character
 
     def entropies(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy in nats a character (rows: texts, columns: languages), and the characters of each text."""
         lengths = np.array([len(c) - 2 for c in texts])
         keys = np.concatenate([trigrams(c) for c in texts]) if texts else np.zeros(0, np.uint64)
-        logp = self._logp(keys)
         sums = np.zeros((len(texts), len(self.langs)))
         some = lengths > 0
         if len(keys):
+            own, place = np.unique(keys, return_inverse=True)
             starts = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-            sums[some] = np.add.reduceat(logp, starts[some], axis=0, dtype=np.float64)
+            sums[some] = np.add.reduceat(self._logp(own)[place], starts[some], axis=0, dtype=np.float64)
         return -sums / np.maximum(lengths, 1)[:, None], lengths
 
     def judge(self, texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -95,33 +132,25 @@ class Model:
         best = entropy.argmin(axis=1)
         low, none = entropy[at, best], n == 0
         score = np.where(none, 1.0, posterior(entropy, n, self.temperature)[at, best])
-        accepted = ~none & ((n < REJECT_LETTERS) | (low <= self.cutoff[best]))
+        accepted = ~none & (self.excess(low, n, best) <= self.cutoff[best])
         return np.where(none, len(self.langs), best), score, low, accepted
 
+    def excess(self, entropy: np.ndarray, n: np.ndarray, lang: np.ndarray | int) -> np.ndarray:
+        """Cross-entropy over n characters beyond what is normal for a language and what the length explains."""
+        middle, spread = self.normal[lang].T
+        return entropy - middle - ALLOWED * spread / np.sqrt(np.maximum(n, 1))
+
     def _logp(self, keys: np.ndarray) -> np.ndarray:
-        out, missing = _rows(self.tri, self.tri_logp, keys)
-        if len(missing):
-            low = keys[missing] & np.uint64(2**42 - 1)
-            p, no_bi = _rows(self.bi, self.bi_logp, low)
-            if len(no_bi):
-                one, no_uni = _rows(self.uni, self.uni_logp, low[no_bi] & np.uint64(2**21 - 1))
-                one[no_uni] = self.floor
-                weight, no_ctx = _rows(self.ctx, self.ctx_logw, (low[no_bi] >> _BITS) | np.uint64(2**62))
-                weight[no_ctx] = 0
-                p[no_bi] = one + weight
-            weight, no_ctx = _rows(self.ctx, self.ctx_logw, keys[missing] >> _BITS)
-            weight[no_ctx] = 0
-            out[missing] = p + weight
+        out = np.tile(self.floor.astype(np.float32), (len(keys), 1))
+        low = keys & _MASK2
+        self.uni.put(out, low & _MASK1)
+        self.ctx1.put(out, low >> _BITS, add=True)
+        self.bi.put(out, low)
+        self.ctx2.put(out, keys >> _BITS, add=True)
+        self.tri.put(out, keys)
         return out
 
 
-def _rows(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of ``values`` at ``wanted`` keys, and the positions that have none."""
-    at = np.searchsorted(keys, wanted)
-    np.minimum(at, len(keys) - 1, out=at)
-    return values[at], np.flatnonzero(keys[at] != wanted)
-
-
 def _discount(counts: np.ndarray) -> float:
     ones, twos = (counts == 1).sum(), (counts == 2).sum()
     return float(ones / (ones + 2 * twos)) if ones and twos else 0.5
@@ -130,78 +159,84 @@ def _discount(counts: np.ndarray) -> float:
 def fit(counts: pd.DataFrame) -> Model:
     """The model of trigram counts (columns lang, key, n)."""
     langs = sorted(counts["lang"].unique())
-    tri = np.unique(counts["key"].to_numpy(np.uint64))
-    mask2, mask1 = np.uint64(2**42 - 1), np.uint64(2**21 - 1)
-    bi = np.unique(np.concatenate([tri & mask2, tri >> _BITS]))
-    uni = np.unique(bi & mask1)
-    # contexts of trigrams by their two characters, contexts of bigrams by one with a mark above
-    ctx = np.unique(np.concatenate([tri >> _BITS, (bi >> _BITS) | np.uint64(2**62)]))
-    size = len(langs)
-    out = Model(langs, tri, np.zeros((len(tri), size), np.float32), ctx, np.zeros((len(ctx), size), np.float32), bi, np.zeros((len(bi), size), np.float32), uni, np.zeros((len(uni), size), np.float32), np.zeros(size, np.float32))
-    alphabet = len(uni) + 1
+    own = {lang: part.sort_values("key") for lang, part in counts.groupby("lang")}
+    alphabet = len(np.unique(counts["key"].to_numpy(np.uint64) & _MASK1)) + 1
+    levels: dict[str, list] = {name: [] for name in ("tri", "ctx2", "bi", "ctx1", "uni")}
+    floor = np.zeros(len(langs))
     for k, lang in enumerate(langs):
-        own = counts[counts["lang"] == lang]
-        keys, n = own["key"].to_numpy(np.uint64), own["n"].to_numpy(float)
-        seen2, left2 = np.unique(keys & mask2, return_counts=True)  # distinct left neighbours
-        seen1, left1 = np.unique(seen2 & mask1, return_counts=True)
+        keys, n = own[lang]["key"].to_numpy(np.uint64), own[lang]["n"].to_numpy(float)
+        bi, left2 = np.unique(keys & _MASK2, return_counts=True)  # distinct left neighbours
+        uni, left1 = np.unique(bi & _MASK1, return_counts=True)
         d3, d2, d1 = _discount(n), _discount(left2), _discount(left1)
-        # unigrams: continuation counts, the discounted rest spread evenly
-        spread = d1 * len(seen1) / left1.sum() / alphabet
-        p1 = np.full(len(uni), spread)
-        p1[np.searchsorted(uni, seen1)] += (left1 - d1) / left1.sum()
+        # single characters: continuation counts, the discounted rest spread evenly
+        spread = d1 * len(uni) / left1.sum() / alphabet
+        p1 = spread + (left1 - d1) / left1.sum()
         # bigrams
-        c2, inv2 = np.unique(seen2 >> _BITS, return_inverse=True)
-        total2, types2 = np.bincount(inv2, left2), np.bincount(inv2)
-        w2 = np.ones(len(ctx))
-        w2[np.searchsorted(ctx, c2 | np.uint64(2**62))] = d2 * types2 / total2
-        p2 = w2[np.searchsorted(ctx, (bi >> _BITS) | np.uint64(2**62))] * p1[np.searchsorted(uni, bi & mask1)]
-        p2[np.searchsorted(bi, seen2)] += (left2 - d2) / total2[inv2]
+        c1, at1 = np.unique(bi >> _BITS, return_inverse=True)
+        total2 = np.bincount(at1, left2)
+        w1 = d2 * np.bincount(at1) / total2
+        p2 = w1[at1] * p1[np.searchsorted(uni, bi & _MASK1)] + (left2 - d2) / total2[at1]
         # trigrams
-        c3, inv3 = np.unique(keys >> _BITS, return_inverse=True)
-        total3, types3 = np.bincount(inv3, n), np.bincount(inv3)
-        w2[np.searchsorted(ctx, c3)] = d3 * types3 / total3
-        p3 = w2[np.searchsorted(ctx, tri >> _BITS)] * p2[np.searchsorted(bi, tri & mask2)]
-        p3[np.searchsorted(tri, keys)] += np.maximum(n - d3, 0) / total3[inv3]
-        out.uni_logp[:, k], out.bi_logp[:, k], out.tri_logp[:, k] = np.log(p1), np.log(p2), np.log(p3)
-        out.ctx_logw[:, k], out.floor[k] = np.log(w2), np.log(spread)
-    return out
+        c2, at2 = np.unique(keys >> _BITS, return_inverse=True)
+        total3 = np.bincount(at2, n)
+        w2 = d3 * np.bincount(at2) / total3
+        p3 = w2[at2] * p2[np.searchsorted(bi, keys & _MASK2)] + np.maximum(n - d3, 0) / total3[at2]
+        for name, level, values in (("tri", keys, p3), ("ctx2", c2, w2), ("bi", bi, p2), ("ctx1", c1, w1), ("uni", uni, p1)):
+            levels[name].append((level, np.log(values)))
+        floor[k] = np.log(spread)
+    return Model(langs, **{name: Level.of(parts) for name, parts in levels.items()}, floor=floor)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Trigram counts of each batch by language."""
+    """Trigram counts of a task by language; memory follows the trigram types, not the texts."""
+    held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
     for batch in batches:
-        by: dict[str, list[np.ndarray]] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by.setdefault(lang, []).append(trigrams(codes(text)))
-        for lang, parts in by.items():
-            keys, n = np.unique(np.concatenate(parts), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "key", "n"])
-
-
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", docs_per_lang: int = DOCS_PER_LANG) -> Model | None:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            by: dict[str, list[np.ndarray]] = {}
+            for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                by.setdefault(lang, []).append(trigrams(codes(text)))
+            for lang, found in by.items():
+                keys, n = np.unique(np.concatenate(found), return_counts=True)
+                if lang in held:
+                    keys, place = np.unique(np.concatenate([held[lang][0], keys]), return_inverse=True)
+                    n = np.bincount(place, np.concatenate([held[lang][1], n])).astype(np.int64)
+                held[lang] = keys, n
+    for lang, (keys, n) in held.items():
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "key", "n"])
+
+
+def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", calibrate_docs: int = CALIBRATE_DOCS) -> Model | None:
     """Models of all languages among ``labelled`` documents (null languages and texts are left out)."""
     rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     grain = 1_000_000
-    rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(grain, -(-docs_per_lang * grain // n)))])
-    drawn = rows.where(F.pmod("h", F.lit(grain)) < rate[F.col("lang")])
-    aside = F.pmod(F.shiftright("h", 32), F.lit(CALIBRATE_EVERY)) == 0
-    counts = drawn.where(~aside).select("lang", "text").mapInArrow(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
-    if counts.empty:  # so few documents that all were set aside
-        counts = drawn.select("lang", "text").mapInArrow(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
+    # a fifth of a language at most is set aside
+    rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(grain // 5, -(-calibrate_docs * grain // n)))])
+    aside = F.pmod("h", F.lit(grain)) < rate[F.col("lang")]
+
+    def counted(part: DataFrame) -> pd.DataFrame:
+        return part.select("lang", "text").mapInArrow(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
+
+    counts = counted(rows.where(~aside))
+    if counts.empty:  # so few documents that all were set aside, or none with a letter
+        counts = counted(rows)
+    if counts.empty:
+        return None
     model = fit(counts)
-    tests = _scored(drawn.where(aside).select("lang", "text"), model, ["lang"]).toPandas()
+    tests = _scored(rows.where(aside).select("lang", "text"), model, ["lang"]).toPandas()
     calibrate(model, tests)
     return model
 
 
 def calibrate(model: Model, tests: pd.DataFrame) -> None:
-    """Sets the temperature of the score and the cross-entropy above which each language rejects."""
+    """Sets the temperature of the score, what is normal in each language and where it rejects."""
     tests = tests[(tests["n"] > 0) & tests["lang"].isin(model.langs)]
+    size = len(model.langs)
+    model.normal, model.cutoff = np.ones((size, 2)), np.full(size, np.inf)
     if tests.empty:
-        model.cutoff = np.full(len(model.langs), np.inf)
         return
     entropy = np.stack(tests["entropy"].to_numpy())
     truth = np.array([model.langs.index(x) for x in tests["lang"]])
@@ -210,16 +245,24 @@ def calibrate(model: Model, tests: pd.DataFrame) -> None:
     def loss(t: float) -> float:
         return -np.log(np.maximum(posterior(entropy, n, t)[np.arange(len(truth)), truth], 1e-9)).mean()
 
-    model.temperature = min((0.1, 0.2, 0.5, 1.0, 2.0, 5.0, 10.0), key=loss)
-    enough = n >= REJECT_LETTERS
-    best = entropy.min(axis=1)
-    # a text in a learned language is coded better than by guessing among the characters seen
-    hardest = np.array([best[enough & (truth == k)].max(initial=-np.inf) for k in range(len(model.langs))])
-    model.cutoff = np.where(np.isfinite(hardest), np.maximum(hardest + 1, np.log(len(model.uni))), np.inf)
+    model.temperature = min(np.geomspace(0.01, 20, 34).tolist(), key=loss)
+    guess = np.log(len(model.uni.keys) + 1)
+    right = entropy.argmin(axis=1) == truth
+    for k in range(size):
+        own = right & (truth == k)
+        if own.sum() < 2:
+            continue
+        e, m = entropy[own, k], n[own]
+        middle = np.median(e)
+        model.normal[k] = middle, 1.4826 * np.median(np.abs(e - middle) * np.sqrt(m))
+        foreign = np.concatenate([model.excess(entropy[truth != k, k], n[truth != k], k), model.excess(np.full(len(m), guess), m, k)])
+        high, low = np.quantile(model.excess(e, m, k), OWN_QUANTILE), np.quantile(foreign, FOREIGN_QUANTILE)
+        model.cutoff[k] = max(high, (high + low) / 2)
 
 
 def posterior(entropy: np.ndarray, n: np.ndarray, temperature: float) -> np.ndarray:
-    z = -entropy * np.minimum(n, SCORE_CHARS)[:, None] / temperature
+    """Probabilities of the languages; evidence grows with the square root of the length, as neighbouring characters depend on each other."""
+    z = -entropy * np.sqrt(n)[:, None] / temperature
     z = np.exp(z - z.max(axis=1, keepdims=True))
     return z / z.sum(axis=1, keepdims=True)
 
