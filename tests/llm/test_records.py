@@ -147,6 +147,22 @@ def test_bpe(spark, tmp_path, plain_bpe):
         ids, r = plain_bpe.encode_ordinary(text or ""), got[doc][0]
         assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
+    few = rows[:120]
+    spans = {doc: plain_offsets(plain_bpe, text or "") for doc, text in few}
+    want = spark.createDataFrame([(doc, [a for a, _ in s], [b for _, b in s]) for doc, s in spans.items()], "doc_id long, starts array<int>, ends array<int>")
+    for r in want.select("doc_id", F.xxhash64("starts", "ends").alias("h"), "starts").collect():
+        assert got[r.doc_id][0].offsets_xxh64 == r.h and got[r.doc_id][0].n_split == len(r.starts) - len(set(r.starts)), r.doc_id
+
+
+def plain_offsets(encoding, text):
+    """Start and end of each token in code points, from the bytes of the tokens."""
+    chars = [k for k, c in enumerate(text) for _ in c.encode()]
+    at, out = 0, []
+    for token in encoding.encode_ordinary(text):
+        size = len(encoding.decode_single_token_bytes(token))
+        out.append((chars[at], chars[at + size - 1] + 1))
+        at += size
+    return out
 
 
 def test_bpe_offsets_and_split_characters(spark):

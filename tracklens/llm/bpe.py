@@ -67,43 +67,34 @@ class Codec:
         # decoding reverses the byte table: character -> byte
         back = {c: b for b, c in enumerate(chars)}
         self.token_bytes = {rank: bytes(back[c] for c in spelled[token]) for token, rank in ranks.items()}
-        self.memo: dict[str, bytes] = {}
-        self.offset_memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, tuple[bytes, bytes, int]] = {}
 
-    def learn(self, pieces: set[str], offsets: bool) -> None:
-        memo = self.offset_memo if offsets else self.memo
+    def learn(self, pieces: set[str]) -> None:
+        """Ids, offsets (both as bytes of int32 arrays) and number of tokens of each piece."""
+        memo = self.memo
         new = [p for p in pieces if p not in memo]
         if len(memo) + len(new) > MEMO_PIECES:
             memo.clear()
             new = list(pieces)
         for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            if offsets:
-                self.offset_memo[piece] = np.asarray(found.offsets, np.int32).reshape(-1, 2)
-            else:
-                self.memo[piece] = np.asarray(found.ids, np.int32).tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as the bytes of an int32 array."""
-        cut = [self.split(t) for t in texts]
-        self.learn({p for pieces in cut for p in pieces}, False)
-        get = self.memo.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
+            memo[piece] = np.asarray(found.ids, np.int32).tobytes(), np.asarray(found.offsets, np.int32).tobytes(), len(found.ids)
 
-    def offsets(self, texts: list[str]) -> list[np.ndarray]:
-        """Start and end of each token in code points of its text.
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """The ids of each text, and start and end of each token in code points.
 
         A token that holds part of a character spans that whole character.
         """
         cut = [self.split(t) for t in texts]
-        self.learn({p for pieces in cut for p in pieces}, True)
-        out = []
+        self.learn({p for pieces in cut for p in pieces})
+        ids, spans = [], []
         for pieces in cut:
-            spans, at = [], 0
-            for p in pieces:
-                spans.append(self.offset_memo[p] + at)
-                at += len(p)
-            out.append(np.concatenate(spans) if spans else np.zeros((0, 2), np.int32))
-        return out
+            found = [self.memo[p] for p in pieces]
+            ids.append(np.frombuffer(b"".join([x[0] for x in found]), np.int32))
+            own = np.frombuffer(b"".join([x[1] for x in found]), np.int32).reshape(-1, 2)
+            lengths = np.fromiter(map(len, pieces), np.int32, len(pieces))
+            first = np.cumsum(lengths, dtype=np.int32) - lengths
+            spans.append(own + np.repeat(first, [x[2] for x in found])[:, None] if pieces else own)
+        return ids, spans
 
     def decode(self, ids: np.ndarray) -> bytes:
         return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
@@ -144,9 +135,9 @@ def _encoder(path: str, pattern: str, kept: int, names: list[str], offsets: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
         for part, texts in _parts(batches, kept):
-            columns = [*part.columns[:kept], _lists([np.frombuffer(x, np.int32) for x in own.encode(texts)])]
+            ids, spans = own.encode(texts)
+            columns = [*part.columns[:kept], _lists(ids)]
             if offsets:
-                spans = own.offsets(texts)
                 columns += [_lists([s[:, 0] for s in spans]), _lists([s[:, 1] for s in spans])]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -187,14 +178,14 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids", ke
     return encoded.select(*[F.col(c) for c in keep], F.col(ids_col).alias("__ids")).mapInArrow(run, T.StructType(fields))
 
 
-def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``encode`` then ``decode`` of its ids in one Python worker: ``keep``, ``ids`` and the decoded columns.
+def round_trip(docs: DataFrame, path: str, pattern: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), offsets: bool = True) -> DataFrame:
+    """``encode`` then ``decode`` of its ids in one Python worker: ``keep``, the encoded and the decoded columns.
 
     The same two steps as calling both, with one vocabulary in memory and no
     second trip of the ids between the JVM and Python.
     """
-    fields = [*(docs.schema[c] for c in keep), *ENCODED, *DECODED]
-    names, n = [f.name for f in fields], len(keep)
-    encoded = _encoder(path, pattern, n, names[: n + 1], False)
-    decoded = _decoder(path, pattern, n, n + 1, names)
+    encoded_fields = [*(docs.schema[c] for c in keep), *ENCODED, *(OFFSETS if offsets else ())]
+    fields = [*encoded_fields, *DECODED]
+    encoded = _encoder(path, pattern, len(keep), [f.name for f in encoded_fields], offsets)
+    decoded = _decoder(path, pattern, len(keep), len(encoded_fields), [f.name for f in fields])
     return docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text")).mapInArrow(lambda batches: decoded(encoded(batches)), T.StructType(fields))

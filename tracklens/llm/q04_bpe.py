@@ -24,6 +24,9 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        # all offsets in one number; tokens that share their start cut a character
+        F.xxhash64("starts", "ends").alias("offsets_xxh64"),
+        (F.size("starts") - F.size(F.array_distinct("starts"))).cast("long").alias("n_split"),
     )
 
 
