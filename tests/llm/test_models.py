@@ -182,14 +182,54 @@ def test_decontamination_cases(spark):
 
 
 def test_hamming_blocks_are_complete():
-    """Fingerprints within the radius agree in a whole block."""
+    """Fingerprints within the radius agree in a whole block; the blocks cover all bits once."""
     gen = random.Random(5)
-    mask = (1 << decontam._WIDTH) - 1
+    parts = decontam.blocks()
+    assert sorted(b for first, width in parts for b in range(first, first + width)) == list(range(64))
+    assert len(parts) == decontam.RADIUS + 1
     for _ in range(2000):
         x = 0
         for b in gen.sample(range(64), decontam.RADIUS):
             x |= 1 << b
-        assert any((x >> (k * decontam._WIDTH)) & mask == 0 for k in range(decontam._BLOCKS))
+        assert any((x >> first) & ((1 << width) - 1) == 0 for first, width in parts)
+
+
+def test_within_radius_matches_all_pairs(spark):
+    """The block join against the distance of every pair, each pair once."""
+    gen = random.Random(8)
+    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
+    items = [(k, gen.choice((10, 20)), gen.getrandbits(64)) for k in range(60)]
+    windows = []
+    for k in range(300):
+        _, size, value = gen.choice(items)
+        for b in gen.sample(range(64), gen.randint(0, 30)):
+            value ^= 1 << b
+        windows.append((k, size, value))
+    w = spark.createDataFrame([(k, n, signed(x)) for k, n, x in windows], "doc_id long, n_words int, print long")
+    i = spark.createDataFrame([(k, n, signed(x)) for k, n, x in items], "item_key long, n_words int, item_print long")
+    got = sorted((r.doc_id, r.item_key, r.distance) for r in decontam.within_radius(w, i).collect())
+    want = sorted((d, k, (x ^ y).bit_count()) for d, n, x in windows for k, m, y in items if n == m and (x ^ y).bit_count() <= decontam.RADIUS)
+    assert got == want
+
+
+#: Items and the position of one changed word: the window is similar (0.75, 0.78), the fingerprints are over 15 bits apart.
+EDITED = [
+    ("cfh eiec jcaa bec gih bigei jfi ch bhcf jg ag ggd cb acj gfdfia cg hadbc bdfih jgfhci bagigi icg cjacc eeedj fcic afgjb djhf cf db hjhe gbjadg gfgie he gaei fc cfdjde gg eedea cg chj", 19, "changed713"),
+    ("djgjag hcc ejdcf ihi be gdi hgbejj ihe dceb afige gacah hbbbgc afgi acec cdegfa eehb idfbbf ie ff cdh", 1, "changed2046"),
+    ("bij ei hhjc bgab jica bceeed gich hc difefa ceebj jd fiihge edehgc afiiih eichf aca cdh baajh fccjf efgjic", 1, "changed2177"),
+]
+
+
+def test_similar_windows_with_distant_fingerprints_are_leaks(spark):
+    items = spark.createDataFrame([(i, item) for i, (item, _, _) in enumerate(EDITED)], "item_id long, text string")
+    rows = []
+    for i, (item, at, word) in enumerate(EDITED):
+        words = item.split()
+        words[at] = word
+        rows.append((i, " ".join(["before", *words, "after"])))
+    got = {x.doc_id: x for x in decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert set(got) == {0, 1, 2}
+    assert all(x.item_id == i and x.start == 1 and x.similarity >= 0.75 and x.distance > 15 for i, x in got.items())
 
 
 # toxicity -------------------------------------------------------------------
