@@ -36,3 +36,21 @@ def test_windows_reach_the_last_frame(spark, tracks):
         assert {r.clip_index for r in catalogue.QUERIES[name](spark, tracks).collect()} >= {1, last}
     whole = catalogue.QUERIES["q44_drop_counts"](spark, tracks).where("scene IS NULL").groupBy().sum("n").first()[0]
     assert whole + catalogue.QUERIES["q45_manifest"](spark, tracks).count() == 6 * last
+
+
+def test_windows_of_every_base(spark, tmp_path):
+    """All bases have windows, and as many as their frames hold."""
+    rows = [(base, line, float(q)) for base in range(1, 8) for line, q in ((1, 700 if base == 4 else 50), (2, 40))]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    windows = {(r.base, r.clip_index) for r in catalogue.QUERIES["q40_overlap_chunks"](spark, str(tmp_path)).collect()}
+    assert windows == {(base, k + 1) for base in range(1, 8) for k in range(23 if base == 4 else 2)}
+
+
+def test_fresh_rows_meet_existing_ones(spark):
+    data = "/root/testdata/sf0.001"
+    orders = spark.read.parquet(f"{data}/orders.parquet").selectExpr("o_orderkey % 700 AS k", "o_orderkey AS id", "o_orderstatus = 'O' AS fresh", "o_totalprice AS price").toPandas()
+    both = orders.groupby("k").fresh.nunique()
+    assert (both == 2).sum() > 100
+    got = {r.k: r.price for r in catalogue.QUERIES["q68_upsert_summary"](spark, data).collect()}
+    last = orders.sort_values(["fresh", "id"]).groupby("k").tail(1)
+    assert got == pytest.approx(dict(zip(last.k, last.price.round(4), strict=True)))

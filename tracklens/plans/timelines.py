@@ -194,10 +194,16 @@ def q37_window_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.quantized(tl.window_starts(extents, "duration", 6.0, 2.3), 6.0, 5.0).select("member", "clip_index", "start_idx", "end_idx", "start_ms", "end_ms")
 
 
-@query(f"""WITH {v.TRACK}, w AS (SELECT unnest(range(1, 40)) AS clip_index), m AS (SELECT DISTINCT member FROM track)
-SELECT member, CAST(clip_index AS INTEGER) AS clip_index, count(DISTINCT frame) FILTER (WHERE modality <> 'error') AS valid, round(count(DISTINCT frame) FILTER (WHERE modality <> 'error') / 6.0::DOUBLE, 6) AS ratio,
+#: Windows of six frames every three, as many as lie before the last frame of all tracks.
+_HOPS = "hops AS (SELECT unnest(range(1, (max(frame) + 1 - 6) // 3 + 2)) AS k FROM track)"
+
+
+@query(f"""WITH {v.TRACK}, {_HOPS}
+SELECT member, CAST(k AS INTEGER) AS clip_index,
+  count(DISTINCT frame) FILTER (WHERE modality <> 'error') AS valid,
+  round(count(DISTINCT frame) FILTER (WHERE modality <> 'error') / 6.0::DOUBLE, 6) AS ratio,
   round(avg(CASE WHEN modality <> 'error' THEN value END), 6) AS mean_value
-FROM w JOIN track ON frame >= (clip_index - 1) * 3 AND frame < (clip_index - 1) * 3 + 6 JOIN m USING (member) WHERE clip_index <= 39 GROUP BY 1, 2""")
+FROM hops JOIN track ON frame >= (k - 1) * 3 AND frame < (k - 1) * 3 + 6 GROUP BY 1, 2""")
 def q38_window_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.col("modality") != "error"
     measures = {"valid": F.countDistinct(F.when(good, F.col("frame"))), "mean_value": F.avg(F.when(good, F.col("value")))}
@@ -217,25 +223,35 @@ def q39_window_padding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("member", "k", "offset", "frame", "modality", F.round("value", 6).alias("value"))
 
 
-_WINDOWS = "win AS (SELECT base, CAST(k + 1 AS INTEGER) AS clip_index, CAST(k * 30 AS BIGINT) AS start_idx, CAST(k * 30 + 60 AS BIGINT) AS end_idx FROM (SELECT base, unnest(range(0, 20)) AS k FROM (SELECT DISTINCT base FROM chunk_len WHERE base % 3 = 0)))"
+_WINDOWS = """ext AS (SELECT base, max(end_frame) AS last FROM iv GROUP BY 1),
+win AS (SELECT base, CAST(k + 1 AS INTEGER) AS clip_index, CAST(k * 30 AS BIGINT) AS start_idx, CAST(k * 30 + 60 AS BIGINT) AS end_idx
+  FROM (SELECT base, unnest(range(0, (last - 60) // 30 + 1)) AS k FROM ext WHERE last >= 60))"""
 
 
-def _base_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bases = v.chunk_len(spark, sf_dir).where("base % 3 = 0").select("base").distinct()
-    rows = bases.withColumn("clip_index", F.explode(F.sequence(F.lit(1), F.lit(20))))
+def _base_windows(intervals: DataFrame) -> DataFrame:
+    """Windows of 60 frames every 30 that lie within the frames of each base."""
+    extents = intervals.groupBy("base").agg(F.max("end_frame").alias("last")).where("last >= 60")
+    rows = extents.select("base", F.explode(F.sequence(F.lit(1), F.floor((F.col("last") - 60) / 30).cast("int") + 1)).alias("clip_index"))
     return rows.withColumn("start_idx", ((F.col("clip_index") - 1) * 30).cast("long")).withColumn("end_idx", F.col("start_idx") + 60)
 
 
-@query(f"WITH {v.CHUNK}, {_INTERVALS}, {_WINDOWS} SELECT base, clip_index, count(*) AS n_chunks, string_agg(CAST(chunk AS VARCHAR), ',' ORDER BY chunk) AS chunks FROM win JOIN iv USING (base) WHERE end_frame - frames < end_idx AND end_frame > start_idx GROUP BY 1, 2")
+@query(f"""WITH {v.CHUNK}, {_INTERVALS}, {_WINDOWS}
+SELECT base, clip_index, count(*) AS n_chunks, string_agg(CAST(chunk AS VARCHAR), ',' ORDER BY chunk) AS chunks
+FROM win JOIN iv USING (base) WHERE end_frame - frames < end_idx AND end_frame > start_idx GROUP BY 1, 2""")
 def q40_overlap_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = tl.overlapping_chunks(_base_windows(spark, sf_dir), _intervals(spark, sf_dir), ["base"])
+    intervals = _intervals(spark, sf_dir)
+    hits = tl.overlapping_chunks(_base_windows(intervals), intervals, ["base"])
     return hits.groupBy("base", "clip_index").agg(F.count("*").alias("n_chunks"), F.array_join(F.array_sort(F.collect_list("chunk")).cast("array<string>"), ",").alias("chunks"))
 
 
-@query(f"WITH {v.CHUNK}, {_INTERVALS}, {_WINDOWS}, ign AS (SELECT base, end_frame - frames AS s, end_frame AS e FROM iv WHERE frames % 5 = 0) SELECT base, clip_index, start_idx, end_idx FROM win WHERE NOT EXISTS (SELECT 1 FROM ign WHERE ign.base = win.base AND s < end_idx AND e > start_idx)")
+@query(f"""WITH {v.CHUNK}, {_INTERVALS}, {_WINDOWS},
+ign AS (SELECT base, end_frame - frames AS s, end_frame AS e FROM iv WHERE frames % 5 = 0)
+SELECT base, clip_index, start_idx, end_idx FROM win
+WHERE NOT EXISTS (SELECT 1 FROM ign WHERE ign.base = win.base AND s < end_idx AND e > start_idx)""")
 def q41_ignored_windows_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = _base_windows(spark, sf_dir)
-    ignored = _intervals(spark, sf_dir).where("frames % 5 = 0").select("base", "start_frame", "end_frame")
+    intervals = _intervals(spark, sf_dir)
+    windows = _base_windows(intervals)
+    ignored = intervals.where("frames % 5 = 0").select("base", "start_frame", "end_frame")
     overlap = (F.col("start_frame") < F.col("end_idx")) & (F.col("end_frame") > F.col("start_idx"))
     return windows.alias("w").join(ignored.alias("i"), (F.col("w.base") == F.col("i.base")) & overlap, "left_anti")
 
@@ -283,16 +299,16 @@ def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.window_reasons(_pairs(spark, sf_dir), stream, bad, rules, ["scene"])
 
 
-_PAIRS = f"""{v.TRACK}, mem AS (SELECT coalesce(c.member, t.member) AS member FROM (SELECT c_custkey AS member FROM customer WHERE c_custkey < 1500) c FULL JOIN (SELECT DISTINCT member FROM track) t USING (member)),
+_PAIRS = f"""{v.TRACK}, mem AS (SELECT coalesce(c.member, t.member) AS member FROM (SELECT c_custkey AS member FROM customer) c FULL JOIN (SELECT DISTINCT member FROM track) t USING (member)),
 has AS (SELECT member, max(CAST(modality = 'purchase' AS INT)) AS p, max(CAST(modality = 'click' AS INT)) AS c, max(CAST(modality = 'view' AS INT)) AS w, max(CAST(modality = 'signup' AS INT)) AS s FROM track GROUP BY 1),
 pairs AS (SELECT a.member // 3 AS scene, a.member AS src, CAST(a.member % 3 + 1 AS INTEGER) AS src_camera, b.member AS tgt, CAST(b.member % 3 + 1 AS INTEGER) AS tgt_camera,
   CASE WHEN coalesce(p, 0) = 0 THEN 'missing_target_purchase' WHEN coalesce(c, 0) = 0 THEN 'missing_target_click' WHEN coalesce(w, 0) = 0 THEN 'missing_target_view' WHEN coalesce(s, 0) = 0 THEN 'missing_target_signup' END AS drop_reason
   FROM mem a JOIN mem b ON a.member // 3 = b.member // 3 AND a.member <> b.member LEFT JOIN has ON has.member = b.member)"""
 
-_WINDOW_SQL = f"""{_PAIRS}, bad AS (SELECT member, frame // 20 AS chunk FROM track WHERE modality = 'error' GROUP BY 1, 2 HAVING count(*) >= 2),
-spine AS (SELECT scene, src, src_camera, tgt, tgt_camera, CAST(k AS INTEGER) AS clip_index, CAST((k - 1) * 3 AS INTEGER) AS start_idx, CAST((k - 1) * 3 + 6 AS INTEGER) AS end_idx FROM (SELECT *, unnest(range(1, 40)) AS k FROM pairs WHERE drop_reason IS NULL)),
+_WINDOW_SQL = f"""{_PAIRS}, {_HOPS}, bad AS (SELECT member, frame // 20 AS chunk FROM track WHERE modality = 'error' GROUP BY 1, 2 HAVING count(*) >= 2),
+spine AS (SELECT scene, src, src_camera, tgt, tgt_camera, CAST(k AS INTEGER) AS clip_index, CAST((k - 1) * 3 AS INTEGER) AS start_idx, CAST((k - 1) * 3 + 6 AS INTEGER) AS end_idx FROM pairs CROSS JOIN hops WHERE drop_reason IS NULL),
 cnt AS (SELECT member, k AS clip_index, count(DISTINCT CASE WHEN modality = 'click' THEN frame END) AS n_click, count(DISTINCT CASE WHEN modality = 'view' THEN frame END) AS n_view, count(DISTINCT CASE WHEN modality = 'signup' THEN frame END) AS n_signup, count(DISTINCT CASE WHEN modality = 'purchase' THEN frame END) AS n_purchase
-  FROM (SELECT unnest(range(1, 40)) AS k) JOIN track ON frame >= (k - 1) * 3 AND frame < (k - 1) * 3 + 6 GROUP BY 1, 2),
+  FROM hops JOIN track ON frame >= (k - 1) * 3 AND frame < (k - 1) * 3 + 6 GROUP BY 1, 2),
 win AS (SELECT scene, src, src_camera, tgt, tgt_camera, spine.clip_index, start_idx, end_idx, coalesce(n_click, 0) AS n_click, coalesce(n_view, 0) AS n_view, coalesce(n_signup, 0) AS n_signup, coalesce(n_purchase, 0) AS n_purchase,
   CASE WHEN EXISTS (SELECT 1 FROM bad WHERE bad.member = src AND bad.chunk * 20 < end_idx AND bad.chunk * 20 + 20 > start_idx) THEN 'conflicted_source_video_chunk'
     WHEN coalesce(n_click, 0) = 0 THEN 'no_valid_clip_in_window' WHEN coalesce(n_view, 0) = 0 THEN 'no_valid_pe_in_window' WHEN coalesce(n_signup, 0) = 0 THEN 'no_valid_t5_text_in_window' WHEN coalesce(n_purchase, 0) = 0 THEN 'no_valid_geometry_in_window'
@@ -328,12 +344,14 @@ def q46_row_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tl.row_guard(rows, rows.where("conflicts < 3"), ["scene", "chunk"], ["chunk"])
 
 
-@query("""WITH a AS (SELECT o_orderkey % 700 AS k, o_totalprice AS price, o_orderkey AS id FROM orders), old AS (SELECT k, arg_max(price, id) AS price FROM a WHERE id % 2 = 0 GROUP BY k), new AS (SELECT k, arg_max(price, id) AS price FROM a WHERE id % 2 = 1 AND k % 3 = 0 GROUP BY k)
+@query("""WITH a AS (SELECT o_orderkey % 700 AS k, o_totalprice AS price, o_orderkey AS id, o_orderstatus = 'O' AS fresh FROM orders),
+old AS (SELECT k, arg_max(price, id) AS price FROM a WHERE NOT fresh GROUP BY k), new AS (SELECT k, arg_max(price, id) AS price FROM a WHERE fresh GROUP BY k)
 SELECT k, round(coalesce(new.price, old.price), 4) AS price FROM old FULL JOIN new USING (k)""")
 def q68_upsert_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = v.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 700).alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("id"))
-    old = tl.last_writer(rows.where("id % 2 = 0"), ["k"], ["id"], ["price"])
-    new = tl.last_writer(rows.where("id % 2 = 1 AND k % 3 = 0"), ["k"], ["id"], ["price"])
+    """Open orders are the fresh rows, all others exist already; most keys have both."""
+    rows = v.table(spark, sf_dir, "orders").select((F.col("o_orderkey") % 700).alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("id"), (F.col("o_orderstatus") == "O").alias("fresh"))
+    old = tl.last_writer(rows.where("NOT fresh"), ["k"], ["id"], ["price"])
+    new = tl.last_writer(rows.where("fresh"), ["k"], ["id"], ["price"])
     return tl.upserted(old, new, ["k"], ["price"]).select("k", F.round("price", 4).alias("price"))
 
 
