@@ -26,8 +26,13 @@ def segment_counts(rows: DataFrame) -> DataFrame:
 
 def top_segments(rows: DataFrame, k: int) -> DataFrame:
     """The ``k`` segments of each clip with most frames, lower ids first on ties, with ``rank``."""
+    return ranked(segment_counts(rows), k)
+
+
+def ranked(counted: DataFrame, k: int) -> DataFrame:
+    """``top_segments`` of segments that are counted (column n) already."""
     rank = F.row_number().over(Window.partitionBy(*CLIP).orderBy(F.desc("n"), "segment_id"))
-    return segment_counts(rows).withColumn("rank", rank).where(F.col("rank") <= k)
+    return counted.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def aggregates(rows: DataFrame) -> DataFrame:
@@ -91,10 +96,10 @@ def pair_evidence(cells: DataFrame, cfg: Identity, digits: int | None = None) ->
 
 def transposed(evidence: DataFrame) -> DataFrame:
     """Evidence as seen from each of the two cameras."""
-    names = {"camera": ("cam_a", "cam_b"), "other_camera": ("cam_b", "cam_a"), "segment_id": ("seg_a", "seg_b"), "other_segment": ("seg_b", "seg_a"), "rows_": ("rows", "cols"), "cols_": ("cols", "rows")}
+    names = {"camera": ("cam_a", "cam_b"), "other_camera": ("cam_b", "cam_a"), "segment_id": ("seg_a", "seg_b"), "other_segment": ("seg_b", "seg_a"), "own_rows": ("rows", "cols"), "own_cols": ("cols", "rows")}
     rest = ["scene", "chunk", "person", "top", "second", "margin", "reason", "accepted"]
-    sides = [evidence.select(*rest, *[F.col(pair[k]).alias(n) for n, pair in names.items()]) for k in (0, 1)]
-    return sides[0].unionByName(sides[1]).withColumnsRenamed({"rows_": "rows", "cols_": "cols"})
+    sides = F.array(*[F.struct(*[F.col(pair[k]).alias(n) for n, pair in names.items()]) for k in (0, 1)])
+    return evidence.select(*rest, F.explode(sides).alias("side")).select(*rest, "side.*").withColumnsRenamed({"own_rows": "rows", "own_cols": "cols"})
 
 
 def assignment_fold(evidence: DataFrame) -> DataFrame:
@@ -122,11 +127,11 @@ def inferred(selected: DataFrame, folded: DataFrame, cfg: Identity) -> DataFrame
     Where a clip has no conflict, exactly two segments, one of them assigned, and
     one visible person left, the other segment is that person.
     """
+    clip = Window.partitionBy(*CLIP)
     rows = selected.select(*SEGMENT).join(folded, SEGMENT, "left").withColumn("conflicts", F.coalesce("conflicts", F.lit(0)))
-    clips = rows.groupBy(*CLIP).agg(F.count("*").alias("size"), F.count("person").alias("known"), F.sum("conflicts").alias("clip_conflicts"), F.collect_set("person").alias("taken"))
-    left = F.array_except(F.array(*map(F.lit, cfg.persons)), F.concat("taken", F.array(F.col("camera").cast("int"))))
-    clips = clips.select(*CLIP, F.when((F.col("size") == 2) & (F.col("known") == 1) & (F.col("clip_conflicts") == 0) & (F.size(left) == 1), left[0]).alias("rest"))
-    out = rows.join(clips, CLIP)
+    left = F.array_except(F.array(*map(F.lit, cfg.persons)), F.concat(F.collect_set("person").over(clip), F.array(F.col("camera").cast("int"))))
+    open_ = (F.count("*").over(clip) == 2) & (F.count("person").over(clip) == 1) & (F.sum("conflicts").over(clip) == 0)
+    out = rows.withColumn("left", left).withColumn("rest", F.when(open_ & (F.size("left") == 1), F.col("left")[0]))
     return out.select(*SEGMENT, F.coalesce("person", "rest").alias("person"), (F.col("person").isNull() & F.col("rest").isNotNull()).alias("was_inferred"), "conflicts")
 
 
@@ -143,10 +148,11 @@ def chunk_fallback(tries: DataFrame) -> DataFrame:
     the winner are never tried.
     """
     rank = F.struct(-F.col("conflicts"), F.col("resolved"), -F.col("unresolved"), F.col("loaded"), -F.col("chunk"))
-    best = tries.groupBy("scene").agg(F.min(F.when(F.col("conflicts") == 0, F.col("chunk"))).alias("clean"), F.max_by("chunk", rank).alias("fallback"), F.max("chunk").alias("last"))
-    chosen = best.select("scene", F.coalesce("clean", "fallback").alias("selected"), F.when(F.col("clean").isNotNull(), "resolved_without_conflict").otherwise("all_chunks_conflicted").alias("status"), F.coalesce("clean", "last").alias("until"))
-    counted = tries.join(chosen, "scene").where(F.col("chunk") <= F.col("until")).groupBy("scene", "selected", "status").agg(F.count("*").alias("attempts"))
-    return counted
+    first = F.min(F.when(F.col("conflicts") == 0, F.col("chunk")))
+    best = tries.groupBy("scene").agg(first.alias("clean"), F.max_by("chunk", rank).alias("fallback"), F.collect_set("chunk").alias("chunks"))
+    status = F.when(F.col("clean").isNotNull(), "resolved_without_conflict").otherwise("all_chunks_conflicted")
+    tried = F.size(F.filter("chunks", lambda c: F.col("clean").isNull() | (c <= F.col("clean")))).cast("long")
+    return best.select("scene", F.coalesce("clean", "fallback").alias("selected"), status.alias("status"), tried.alias("attempts"))
 
 
 def prototypes(segments: DataFrame, vectors: DataFrame, chosen: DataFrame) -> DataFrame:
@@ -167,21 +173,21 @@ def prototype_scores(vectors: DataFrame, protos: DataFrame) -> DataFrame:
 def greedy_primary(scores: DataFrame) -> DataFrame:
     """One-to-one assignment of persons and segments per clip by descending similarity.
 
-    Each round takes the best cell that is left in every clip and removes its
-    person and segment; there are as many rounds as persons at most.
+    One fold over the cells of a clip, best first (lower person, then segment on
+    ties): a cell is taken if neither its person nor its segment is. The array is
+    bounded by the persons and segments of a clip.
     """
-    from functools import reduce
-
-    persons = scores.select("person").distinct().count()
-    left, taken = scores, []
-    for _ in range(max(1, persons)):
-        order = [F.desc("similarity"), F.col("person"), F.col("segment_id")]
-        first = F.row_number().over(Window.partitionBy(*CLIP).orderBy(*order))
-        won = left.withColumn("at", first).where("at = 1").drop("at")
-        taken.append(won)
-        gone = won.select(*CLIP, F.col("person").alias("p"), F.col("segment_id").alias("s"))
-        left = left.join(gone, CLIP, "left").where("p IS NULL OR (person <> p AND segment_id <> s)").drop("p", "s")
-    return reduce(DataFrame.unionByName, taken)
+    kinds = dict(scores.dtypes)
+    cell = F.struct((-F.col("similarity")).alias("order"), "person", "segment_id", *[c for c in scores.columns if c not in (*CLIP, "person", "segment_id")])
+    cells = scores.groupBy(*CLIP).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    start = F.array().cast(dict(cells.dtypes)["cells"])
+
+    def step(won: Column, x: Column) -> Column:
+        met = F.exists(won, lambda w: (w["person"] == x["person"]) | (w["segment_id"] == x["segment_id"]))
+        return F.when(met, won).otherwise(F.concat(won, F.array(x)))
+
+    won = cells.select(*CLIP, F.explode(F.aggregate("cells", start, step)).alias("w"))
+    return won.select([F.col(c) if c in CLIP else F.col(f"w.{c}").cast(kinds[c]).alias(c) for c in scores.columns])
 
 
 def merged_tracks(scores: DataFrame, primary: DataFrame, frames: DataFrame, cfg: Identity) -> DataFrame:

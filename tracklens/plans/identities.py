@@ -58,8 +58,7 @@ def _face(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _selected(face: DataFrame) -> DataFrame:
-    top = idn.top_segments(face, CFG.top_k).where(F.col("n") >= CFG.min_embeddings).drop("n")
-    return top.join(idn.aggregates(face).where("finite"), idn.SEGMENT)
+    return idn.ranked(idn.aggregates(face), CFG.top_k).where((F.col("n") >= CFG.min_embeddings) & F.col("finite"))
 
 
 def _segments(face: DataFrame) -> DataFrame:
