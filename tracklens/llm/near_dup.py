@@ -65,7 +65,7 @@ MAX_LOSS = 10.0
 #: Equal registers below which a similarity at the threshold is out of question (6.5 standard deviations).
 LEAST_EQUAL = 64
 #: Classes and shingles of a block, about; a task holds two blocks of one bucket.
-BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1_000_000
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1_000_000
 #: Buckets with more than this share of all members are joined by broadcast; there are fewer than its inverse.
 HOT_BUCKETS = 2000
 #: Pairs of one class that go to one task, about.
