@@ -22,10 +22,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where it is unset (tests on one machine) a temporary one is made.
+    Where it is unset, a temporary one is made if all runs on this machine
+    (tests); a cluster needs the setting.
     """
     found = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tracklens-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
