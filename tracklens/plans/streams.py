@@ -15,9 +15,14 @@ ORACLES: dict[str, str] = {}
 
 
 def _folder(spark: SparkSession) -> str:
-    """A new folder below the one that driver and executors share; a temporary one where none is set."""
+    """A new folder below the one that driver and executors share; a temporary one only where all runs on this machine."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-    return f"{(shared or 'file://' + tempfile.mkdtemp(prefix='tracklens-')).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    if not shared:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        shared = "file://" + tempfile.mkdtemp(prefix="tracklens-")
+    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
 
 
 def q73_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
