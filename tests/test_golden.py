@@ -288,3 +288,24 @@ def test_image_kernels():
     assert kernels.crop_box(mask) == (2, 1, 5, 3) and kernels.crop_box(~mask & mask) is None
     assert kernels.percentile_colors(np.array([[1.0, 2.0], [3.0, np.nan]]))[1, 1] == 0
     assert kernels.overlay(image, mask, (0, 0, 0), 0.5)[1, 2].tolist() == [100, 100, 100]
+
+
+def test_stream_rules_in_order(spark):
+    """Each rule is the first to fail for one pair; sources count once; strict raises."""
+    from tracklens.operators import manifest
+
+    members = spark.createDataFrame([(1, m, m) for m in range(1, 10)], "scene int, member int, camera int")
+    audio = spark.createDataFrame([(m, 60.0, m != 2) for m in range(2, 10) if m != 3] + [(3, 19.9, True)], "member int, seconds double, allowed boolean")
+    lengths = spark.createDataFrame([(m, k, f) for m, k, f in [(4, "a", 100), (5, "a", 100), (5, "b", 29), (6, "a", 100), (6, "b", 30), (7, "b", 9), (8, "a", 75), (8, "b", 45)]], "member int, modality string, frames int")
+    found = manifest.audio_reasons(manifest.pairs(members, ["scene"]), audio, 20.0)
+    out = manifest.stream_reasons(found, lengths, ["a", "b"], 6.0, 3.0, 5.0)
+    got = {(r.src, r.tgt): (r.drop_reason, r.windows) for r in out.collect()}
+    assert len(got) == 72
+    assert got[1, 5][0] == "missing_src_audio" and got[2, 5][0] == "src_audio_stem_filtered" and got[3, 1][0] == "src_audio_duration_filtered"
+    assert got[9, 1][0] == "missing_tgt_audio" and got[9, 2][0] == "tgt_audio_stem_filtered" and got[9, 3][0] == "tgt_audio_duration_filtered"
+    assert got[9, 7][0] == "missing_target_a" and got[9, 4][0] == "missing_target_b" and got[9, 5] == ("no_complete_window", 0)
+    assert got[9, 6] == (None, 1) and got[9, 8] == (None, 2)
+    counts = {r.drop_reason: r.n for r in manifest.stream_drop_counts(out, ["scene"]).collect()}
+    assert counts["missing_src_audio"] == counts["src_audio_stem_filtered"] == 1 and counts["missing_tgt_audio"] == 6
+    with pytest.raises(Exception, match="missing_"):
+        manifest.stream_reasons(found, lengths, ["a", "b"], 6.0, 3.0, 5.0, strict=True).collect()

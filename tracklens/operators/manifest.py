@@ -44,6 +44,54 @@ def pair_reasons(pairs_: DataFrame, stream: DataFrame, rules: Rules) -> DataFram
     return found.withColumn("drop_reason", timeline.first_failing([(f"missing_target_{m}", F.coalesce(F.col(f"has_{m}"), F.lit(0)) == 0) for m in rules.required])).drop(*[f"has_{m}" for m in names])
 
 
+AUDIO_RULES = ("missing_{side}_audio", "{side}_audio_stem_filtered", "{side}_audio_duration_filtered")
+
+
+def audio_reasons(pairs_: DataFrame, audio: DataFrame, least_seconds: float) -> DataFrame:
+    """Pairs with the seconds of both members' audio and ``drop_reason``, the source's rules first.
+
+    ``audio`` has member, seconds and ``allowed`` (whether its stem is on the list);
+    a recording is too short if it is strictly under ``least_seconds``.
+    """
+    out, rules = pairs_, []
+    for side in ("src", "tgt"):
+        own = audio.select(F.col("member").alias(side), F.col("seconds").alias(f"{side}_seconds"), F.col("allowed").alias(f"{side}_allowed"))
+        out = out.join(own, side, "left")
+        failed = (F.col(f"{side}_seconds").isNull(), ~F.col(f"{side}_allowed"), F.col(f"{side}_seconds") < least_seconds)
+        rules += [(name.format(side=side), f) for name, f in zip(AUDIO_RULES, failed, strict=True)]
+    return out.withColumn("drop_reason", timeline.first_failing(rules)).drop("src_allowed", "tgt_allowed")
+
+
+def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], window_sec: float, stride_sec: float, fps: float, strict: bool = False) -> DataFrame:
+    """``audio_reasons`` carried on: the modalities that a target lacks, then the windows it has room for.
+
+    ``lengths`` has one row per member and modality with its frames. The usable
+    seconds are those that both recordings and all modalities have; a pair whose
+    usable seconds hold no whole window is dropped. With ``strict`` whatever is
+    missing raises an error instead.
+    """
+    frames = lengths.groupBy(F.col("member").alias("tgt")).agg(*[F.max(F.when(F.col("modality") == m, F.col("frames"))).alias(f"f_{m}") for m in required])
+    out = pairs_.join(frames, "tgt", "left")
+    rules = [(f"missing_target_{m}", F.col(f"f_{m}").isNull()) for m in required]
+    seconds = F.least("src_seconds", "tgt_seconds", *[F.col(f"f_{m}") / fps for m in required])
+    windows = F.greatest(F.floor((seconds - window_sec + timeline.EPSILON) / stride_sec) + 1, F.lit(0))
+    reason = F.coalesce(F.col("drop_reason"), timeline.first_failing([*rules, ("no_complete_window", windows < 1)]))
+    out = out.withColumn("drop_reason", reason).withColumn("usable_seconds", F.when(F.col("drop_reason").isNull() | (F.col("drop_reason") == "no_complete_window"), seconds))
+    out = out.withColumn("windows", F.when(F.col("drop_reason").isNull(), windows).otherwise(0).cast("int"))
+    if strict:
+        missing = F.col("drop_reason").startswith("missing_")
+        out = out.withColumn("drop_reason", F.when(missing, F.raise_error(F.concat(F.col("drop_reason"), F.lit(": "), F.col("src").cast("string"), F.lit(" to "), F.col("tgt").cast("string")))).otherwise(F.col("drop_reason")))
+    return out.drop(*[f"f_{m}" for m in required])
+
+
+def stream_drop_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Drops by reason: a source's own counts once per source, any other once per pair."""
+    dropped = rows.where("drop_reason IS NOT NULL")
+    own = F.col("drop_reason").isin([r.format(side="src") for r in AUDIO_RULES])
+    unit = F.when(own, F.struct(*keys, "src", F.lit(None).cast(dict(rows.dtypes)["tgt"]).alias("tgt"))).otherwise(F.struct(*keys, "src", "tgt"))
+    return dropped.select("drop_reason", unit.alias("u")).distinct().groupBy("drop_reason").agg(F.count("*").alias("n"))
+
+
 def window_reasons(pairs_: DataFrame, stream: DataFrame, conflicts: DataFrame, rules: Rules, keys: list[str]) -> DataFrame:
     """All windows of the pairs that are left, with counts and the first failing rule."""
     last = (rules.frames - rules.window) // rules.stride

@@ -336,6 +336,44 @@ def q45_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(*_MANIFEST_COLUMNS, F.round(F.col("n_purchase") / RULES.window, 6).alias("geometry_ratio"), name.alias("window_name"))
 
 
+_STREAMS = f"""{v.TRACK},
+audio AS (SELECT o_custkey AS member, count(*) * 5.0::DOUBLE AS seconds, max(o_totalprice) >= 100000 AS allowed FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+mem AS (SELECT c_custkey AS member FROM customer),
+len AS (SELECT member, max(frame) FILTER (WHERE modality = 'purchase') + 1 AS p, max(frame) FILTER (WHERE modality = 'click') + 1 AS c,
+  max(frame) FILTER (WHERE modality = 'view') + 1 AS w, max(frame) FILTER (WHERE modality = 'signup') + 1 AS s FROM track GROUP BY 1),
+met AS (SELECT a.member // 3 AS scene, a.member AS src, b.member AS tgt, x.seconds AS ss, x.allowed AS sa, y.seconds AS ts, y.allowed AS ta, p, c, w, s,
+  least(x.seconds, y.seconds, p / 5.0::DOUBLE, c / 5.0::DOUBLE, w / 5.0::DOUBLE, s / 5.0::DOUBLE) AS usable
+  FROM mem a JOIN mem b ON a.member // 3 = b.member // 3 AND a.member <> b.member
+  LEFT JOIN audio x ON x.member = a.member LEFT JOIN audio y ON y.member = b.member LEFT JOIN len ON len.member = b.member),
+streams AS (SELECT *, CASE WHEN ss IS NULL THEN 'missing_src_audio' WHEN NOT sa THEN 'src_audio_stem_filtered' WHEN ss < 10 THEN 'src_audio_duration_filtered'
+  WHEN ts IS NULL THEN 'missing_tgt_audio' WHEN NOT ta THEN 'tgt_audio_stem_filtered' WHEN ts < 10 THEN 'tgt_audio_duration_filtered'
+  WHEN c IS NULL THEN 'missing_target_click' WHEN w IS NULL THEN 'missing_target_view' WHEN s IS NULL THEN 'missing_target_signup'
+  WHEN p IS NULL THEN 'missing_target_purchase' WHEN usable - 6 + 1e-6 < 0 THEN 'no_complete_window' END AS drop_reason FROM met)"""
+
+
+def _streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of customers in a scene: urgent orders stand in for their recordings, events for their modalities."""
+    members = v.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("member")).withColumn("scene", F.floor(F.col("member") / 3).cast("long")).withColumn("camera", (F.col("member") % 3 + 1).cast("int"))
+    orders = v.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("member"))
+    audio = orders.agg((F.count("*") * 5.0).cast("double").alias("seconds"), (F.max("o_totalprice") >= 100000).alias("allowed"))
+    lengths = v.track(spark, sf_dir).groupBy("member", "modality").agg((F.max("frame") + 1).alias("frames"))
+    found = mf.audio_reasons(mf.pairs(members, ["scene"]), audio, 10.0)
+    return mf.stream_reasons(found, lengths, ["click", "view", "signup", "purchase"], 6.0, 3.0, 5.0)
+
+
+@query(f"""WITH {_STREAMS} SELECT scene, src, tgt, drop_reason,
+  CASE WHEN drop_reason IS NULL OR drop_reason = 'no_complete_window' THEN round(usable, 6) END AS usable_seconds,
+  CAST(CASE WHEN drop_reason IS NULL THEN floor((usable - 6 + 1e-6) / 3) + 1 ELSE 0 END AS INTEGER) AS windows FROM streams""")
+def q89_stream_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streams(spark, sf_dir).select("scene", "src", "tgt", "drop_reason", F.round("usable_seconds", 6).alias("usable_seconds"), "windows")
+
+
+@query(f"""WITH {_STREAMS} SELECT drop_reason, count(DISTINCT CASE WHEN drop_reason LIKE '%src\\_audio%' ESCAPE '\\' THEN CAST(src AS VARCHAR) ELSE src || '>' || tgt END) AS n
+FROM streams WHERE drop_reason IS NOT NULL GROUP BY 1""")
+def q90_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mf.stream_drop_counts(_streams(spark, sf_dir), ["scene"])
+
+
 @query(f"""WITH {_ATTEMPTS}, a AS (SELECT scene, chunk, row_number() OVER (PARTITION BY scene ORDER BY chunk) AS position FROM att), b AS (SELECT scene, chunk, row_number() OVER (PARTITION BY scene ORDER BY chunk) AS position FROM att WHERE conflicts < 3)
 SELECT coalesce(a.scene, b.scene) AS part, CAST(coalesce(a.position, b.position) AS INTEGER) AS position, a.scene || '|' || a.chunk AS key_before, b.scene || '|' || b.chunk AS key_after
 FROM a FULL JOIN b ON a.scene = b.scene AND a.position = b.position WHERE (a.scene || '|' || a.chunk) IS DISTINCT FROM (b.scene || '|' || b.chunk)""")
