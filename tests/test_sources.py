@@ -98,5 +98,8 @@ def test_sinks(spark, tmp_path):
 
 
 def test_slots(spark):
-    rows = spark.createDataFrame([("a",), ("a",), (None,)], "x string").select(slots.apply("image_feature", F.col("x")).alias("v"), slots.apply("image_sentence", F.col("x")).alias("s")).collect()
-    assert rows[0].v == rows[1].v and len(rows[0].v) == 768 and rows[2].v is None and rows[0].s == "DRY_RUN a"
+    slots.register("length_vector", lambda: lambda rows: [[float(len(x))] * 3 for x in rows], "array<float>")
+    slots.register("sentence", lambda: lambda rows: [f"saw {x}" for x in rows], "string")
+    values = spark.createDataFrame([("a",), ("a",), (None,)], "x string")
+    rows = values.select(slots.apply("length_vector", F.col("x")).alias("v"), slots.apply("sentence", F.col("x")).alias("s")).collect()
+    assert rows[0].v == rows[1].v == [1.0] * 3 and rows[2].v is None and rows[0].s == "saw a" and rows[2].s is None

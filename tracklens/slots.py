@@ -1,15 +1,13 @@
-"""Model slots: vectorised row functions that a caller plugs in, with deterministic stand-ins.
+"""Model slots: vectorised row functions that a caller registers.
 
-A slot takes and returns pandas Series inside an iterator UDF, so a real model is
-loaded once per task. The stand-ins derive values from a hash of the input bytes.
+A slot takes and returns pandas Series inside an iterator UDF, so a model is
+loaded once per task.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -41,29 +39,3 @@ def apply(name: str, value: Column, batch: int = 32) -> Column:
 
     run.__annotations__ = {"parts": Iterator[pd.Series], "return": Iterator[pd.Series]}
     return F.pandas_udf(run, returns)(value)
-
-
-def hashed_vector(dim: int, unit: bool = True) -> Callable[[], Callable[[list], list]]:
-    """A stand-in model: a fixed random vector for each distinct input."""
-
-    def make():
-        def model(rows: list) -> list:
-            out = []
-            for x in rows:
-                raw = x if isinstance(x, bytes | bytearray) else str(x).encode()
-                vec = np.random.default_rng(int.from_bytes(hashlib.sha256(bytes(raw)).digest()[:8], "big")).normal(size=dim)
-                out.append((vec / np.linalg.norm(vec) if unit else vec).astype(np.float32).tolist())
-            return out
-
-        return model
-
-    return make
-
-
-register("image_feature", hashed_vector(768), "array<float>")
-register("face_embedding", hashed_vector(768), "array<float>")
-register("text_feature", hashed_vector(4096, unit=False), "array<float>")
-register("patch_tokens", hashed_vector(1024, unit=False), "array<float>")
-register("image_sentence", lambda: lambda rows: [f"DRY_RUN {x}" for x in rows], "string")
-register("depth", hashed_vector(64, unit=False), "array<float>")
-register("segmentation", hashed_vector(64, unit=False), "array<float>")
