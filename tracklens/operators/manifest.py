@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import timeline
@@ -62,12 +62,14 @@ def audio_reasons(pairs_: DataFrame, audio: DataFrame, least_seconds: float) ->
     return out.withColumn("drop_reason", timeline.first_failing(rules)).drop("src_allowed", "tgt_allowed")
 
 
-def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], window_sec: float, stride_sec: float, fps: float, strict: bool = False) -> DataFrame:
+def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], window_sec: float | Column, stride_sec: float | Column, fps: float, strict: bool = False) -> DataFrame:
     """``audio_reasons`` carried on: the modalities that a target lacks, then the windows it has room for.
 
     ``lengths`` has one row per member and modality with its frames. The usable
     seconds are those that both recordings and all modalities have; a pair whose
-    usable seconds hold no whole window is dropped. With ``strict`` whatever is
+    usable seconds hold no whole window is dropped. Window and stride may be
+    columns of the pair. ``frames`` is the length of the target's shortest modality.
+    With ``strict`` whatever is
     missing raises an error instead.
     """
     frames = lengths.groupBy(F.col("member").alias("tgt")).agg(*[F.max(F.when(F.col("modality") == m, F.col("frames"))).alias(f"f_{m}") for m in required])
@@ -81,15 +83,16 @@ def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], w
     if strict:
         missing = F.col("drop_reason").startswith("missing_")
         out = out.withColumn("drop_reason", F.when(missing, F.raise_error(F.concat(F.col("drop_reason"), F.lit(": "), F.col("src").cast("string"), F.lit(" to "), F.col("tgt").cast("string")))).otherwise(F.col("drop_reason")))
-    return out.drop(*[f"f_{m}" for m in required])
+    shortest = F.least(*[F.col(f"f_{m}") for m in required]) if len(required) > 1 else F.col(f"f_{required[0]}")
+    return out.withColumn("frames", shortest).drop(*[f"f_{m}" for m in required])
 
 
-def stream_drop_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Drops by reason: a source's own counts once per source, any other once per pair."""
+def stream_drop_counts(rows: DataFrame, keys: list[str], by: list[str] = ()) -> DataFrame:
+    """Drops by reason and ``by``: a source's own counts once per source, any other once per pair."""
     dropped = rows.where("drop_reason IS NOT NULL")
     own = F.col("drop_reason").isin([r.format(side="src") for r in AUDIO_RULES])
     unit = F.when(own, F.struct(*keys, "src", F.lit(None).cast(dict(rows.dtypes)["tgt"]).alias("tgt"))).otherwise(F.struct(*keys, "src", "tgt"))
-    return dropped.select("drop_reason", unit.alias("u")).distinct().groupBy("drop_reason").agg(F.count("*").alias("n"))
+    return dropped.select("drop_reason", *by, unit.alias("u")).distinct().groupBy("drop_reason", *by).agg(F.count("*").alias("n"))
 
 
 def window_reasons(pairs_: DataFrame, stream: DataFrame, conflicts: DataFrame, rules: Rules, keys: list[str]) -> DataFrame:
@@ -114,6 +117,96 @@ def window_reasons(pairs_: DataFrame, stream: DataFrame, conflicts: DataFrame, r
     return out.withColumn("drop_reason", timeline.first_failing(checks)).drop("n_conflicted")
 
 
+@dataclass(frozen=True)
+class Ordered:
+    """The rules of a window in their order, and what switches them off."""
+
+    valid: tuple[tuple[str, str], ...]  # (modality, reason of a window without a valid frame)
+    visual: str  # modality of which one frame at least must be masked
+    geometry: str
+    whole: str = "mask"  # modality that must be valid in every frame
+    min_geometry_ratio: float = 0.25
+    keep_empty: bool = False
+    keep_absent: bool = False
+
+
+def split_reasons(roots: DataFrame, required: list[str]) -> DataFrame:
+    """Splits of ``roots`` (split, root) with ``drop_reason`` where a required root is missing.
+
+    A split without any root has no row here; the caller's list of splits decides.
+    """
+    found = roots.groupBy("split").agg(F.collect_set(F.when(F.col("root").isin(required), F.col("root"))).alias("has"))
+    return found.select("split", F.when(F.size("has") < len(set(required)), "missing_depth_clip_pe_text_or_mask_root").alias("drop_reason"))
+
+
+def pair_windows(pairs_: DataFrame, window: Column, stride_sec: Column, fps: float) -> DataFrame:
+    """All windows of the pairs that no rule of a pair dropped (see ``stream_reasons``), with frame bounds."""
+    rows = pairs_.where("drop_reason IS NULL AND windows > 0").drop("drop_reason")
+    rows = rows.withColumn("clip_index", F.explode(F.sequence(F.lit(1), F.col("windows"))))
+    start = F.floor((F.col("clip_index") - 1) * stride_sec * fps + 0.5).cast("int")
+    return rows.withColumn("start_idx", start).withColumn("end_idx", (start + window).cast("int"))
+
+
+def ordered_reasons(windows: DataFrame, counts: DataFrame, blocked: DataFrame, rules: Ordered, videos: DataFrame | None = None) -> DataFrame:
+    """Windows with counts, geometry ratio and the first failing rule.
+
+    ``windows`` has src, tgt, clip_index, frame bounds, ``frames`` (of the target's
+    shortest modality) and ``is_test``; ``counts`` has member, clip_index,
+    ``n_masked`` and the valid frames ``n_<modality>``; ``blocked`` has member,
+    clip_index, ``ignored`` and ``conflicted`` for the chunks that a window meets.
+    Test windows may exceed a modality but need the geometry ratio. With ``videos``
+    (member) both cameras need one.
+    """
+    names = [f"n_{m}" for m, _ in rules.valid] + [f"n_{rules.whole}", "n_masked"]
+    out = windows.join(counts.withColumnRenamed("member", "tgt"), ["tgt", "clip_index"], "left").fillna(0, names)
+    out = out.join(blocked.withColumnRenamed("member", "src"), ["src", "clip_index"], "left")
+    length = F.col("end_idx") - F.col("start_idx")
+    ratio = F.col(f"n_{rules.geometry}") / length
+    checks = [("window_exceeds_modality", ~F.col("is_test") & (F.col("end_idx") > F.col("frames"))), ("ignored_source_video_chunk", F.col("ignored")), ("conflicted_source_video_chunk", F.col("conflicted"))]
+    for m, reason in rules.valid:
+        if not rules.keep_empty:
+            checks.append((reason, F.col(f"n_{m}") == 0))
+        if m == rules.visual and not rules.keep_absent:
+            checks.append(("fully_absent_target_visual", F.col("n_masked") == 0))
+    checks += [("incomplete_target_mask_window", F.col(f"n_{rules.whole}") < length), ("low_geometry_valid_ratio", F.col("is_test") & (ratio < rules.min_geometry_ratio))]
+    for side in ("src", "tgt") if videos is not None else ():
+        out = out.join(videos.select(F.col("member").alias(side), F.lit(True).alias(f"{side}_video")).distinct(), side, "left")
+        checks.append((f"missing_{side}_video", F.col(f"{side}_video").isNull()))
+    out = out.withColumn("geometry_ratio", ratio).withColumn("drop_reason", timeline.first_failing(checks))
+    return out.drop("ignored", "conflicted", "src_video", "tgt_video")
+
+
+def assignment_reasons(assignments: DataFrame, conflicted: DataFrame, keys: list[str], least_people: int = 1, cameras: list[int] | None = None) -> DataFrame:
+    """Assignments (keys, chunk, person_id) with ``excluded``: null where the assignment stays.
+
+    Those of a conflicted chunk go first; then those of ``keys`` whose remaining
+    assignments name fewer than ``least_people`` persons. Given ``cameras``, the
+    others (column camera) are excluded before both.
+    """
+    own = F.lit(False) if cameras is None else ~F.col("camera").isin(cameras)
+    out = assignments.join(conflicted.select(*keys, "chunk", F.lit(True).alias("__bad")).distinct(), [*keys, "chunk"], "left")
+    out = out.withColumn("excluded", timeline.first_failing([("other_camera", own), ("conflicted_chunk", F.col("__bad"))])).drop("__bad")
+    enough = out.where("excluded IS NULL").groupBy(*keys).agg(F.countDistinct("person_id").alias("__people")).where(F.col("__people") >= least_people)
+    out = out.join(enough, keys, "left")
+    return out.withColumn("excluded", F.coalesce("excluded", F.when(F.col("__people").isNull(), "too_few_mapped_people"))).drop("__people")
+
+
+def sidecar_rows(windows: DataFrame, stream: DataFrame, modalities: list[str], values: list[str]) -> DataFrame:
+    """One row per window, modality and frame of the window, with the target's values and ``valid``.
+
+    Write it with ``sinks.write_tracks(rows, path, by=("modality", ...))``. The stream
+    has one row per member, modality and frame; a frame without one is not valid
+    and is ``padded`` where it lies after the target's last frame.
+    """
+    keys = [c for c in ("scene", "src", "tgt", "clip_index") if c in windows.columns]
+    length = [F.col("frames")] if "frames" in windows.columns else [F.col("end_idx")]
+    spine = windows.select(*keys, "start_idx", length[0].alias("__length"), F.explode(F.sequence("start_idx", F.col("end_idx") - 1)).alias("frame"))
+    spine = spine.withColumn("offset", F.col("frame") - F.col("start_idx")).withColumn("modality", F.explode(F.array(*map(F.lit, modalities))))
+    held = stream.select(F.col("member").alias("tgt"), "modality", "frame", *values, F.lit(True).alias("valid"))
+    out = spine.join(held, ["tgt", "modality", "frame"], "left").withColumn("valid", F.coalesce("valid", F.lit(False)))
+    return out.withColumn("padded", ~F.col("valid") & (F.col("frame") >= F.col("__length"))).drop("__length", "start_idx")
+
+
 def manifest(windows: DataFrame) -> DataFrame:
     """The rows no rule dropped."""
     return windows.where("drop_reason IS NULL").drop("drop_reason")

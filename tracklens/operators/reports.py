@@ -67,6 +67,44 @@ def status_totals(rows: DataFrame, keys: list[str], status: str, sums: list[str]
     return rows.rollup(*keys).agg(F.count("*").alias("jobs"), F.count_if(F.col(status) == "failed").alias("failed"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums])
 
 
+def run_summary(jobs: DataFrame, step: str, status: str, error: str, sums: list[str]) -> DataFrame:
+    """Jobs, failed ones (with an error) and sums over all, by step, and by step and status; ``level`` is the grouping id."""
+    failed = F.count_if(F.col(error).isNotNull()).alias("failed")
+    return jobs.rollup(step, status).agg(F.count("*").alias("jobs"), failed, *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in sums], F.grouping_id().cast("int").alias("level"))
+
+
+def shape_histogram(evidence: DataFrame) -> DataFrame:
+    """How many camera pairs, each once, have similarity matrices of each shape."""
+    return evidence.groupBy(F.concat_ws("x", F.col("rows").cast("string"), F.col("cols").cast("string")).alias("shape")).agg(F.count("*").alias("n"))
+
+
+def mapping_report(clips: DataFrame, scenes: DataFrame) -> DataFrame:
+    """The measures of a mapping over all splits (null split) and by split.
+
+    ``clips`` has split, scene, and per clip its segments, resolved, conflicts,
+    missing, low_count and representatives; ``scenes`` has scene, attempts and
+    status. A scene is a problem if a segment of it is unresolved or conflicted, or
+    one of its clips has segments without enough embeddings or no representative.
+    """
+    per_scene = clips.groupBy("split", "scene").agg(
+        F.count("*").alias("clips"),
+        F.count_if(F.col("representatives") == 0).alias("clips_without_representatives"),
+        *[F.sum(c).alias(c) for c in ("segments", "resolved", "conflicts", "missing", "low_count")],
+    )
+    both = per_scene.join(scenes.select("scene", "attempts", "status"), "scene", "left").withColumn("unresolved", F.col("segments") - F.col("resolved"))
+    problem = F.greatest("unresolved", "conflicts", "missing", "low_count", "clips_without_representatives") > 0
+    return both.rollup("split").agg(
+        F.countDistinct("split").alias("splits"),
+        F.count("*").alias("scenes"),
+        F.count_if(problem).alias("problem_scenes"),
+        F.count_if(problem | (F.col("attempts") > 1) | (F.col("clips") < 3)).alias("diagnostic_scenes"),
+        *[F.sum(c).cast("long").alias(c) for c in ("clips", "clips_without_representatives")],
+        *[F.sum(c).cast("long").alias(n) for c, n in (("segments", "total_segments"), ("resolved", "resolved_segments"), ("unresolved", "unresolved_segments"), ("conflicts", "conflict_segments"), ("missing", "missing_embedding_segments"), ("low_count", "low_embedding_count_segments"))],
+        F.count_if(F.col("attempts") > 1).alias("fallback_scenes"),
+        F.count_if(F.col("status") == "all_chunks_conflicted").alias("all_chunks_conflicted_scenes"),
+    )
+
+
 def html_table(rows: DataFrame, title: str, limit: int = 1000) -> str:
     """A small report table as HTML; at most ``limit`` rows reach the driver."""
     from html import escape

@@ -93,6 +93,20 @@ def window_counts(stream: DataFrame, keys: list[str], frame: str, window: int, s
     return rows.groupBy(*keys, (F.col("__w") + 1).alias("clip_index")).agg(*[m.alias(name) for name, m in measures.items()])
 
 
+def meeting_windows(rows: DataFrame, low: Column, high: Column, window: Column, stride_sec: Column, fps: float) -> DataFrame:
+    """Rows of frames [low, high), once for each window they meet, as ``clip_index``.
+
+    Windows have ``window`` frames and start every ``stride_sec`` seconds, rounded
+    half up to a frame, so the few candidates of a row are checked one by one.
+    """
+    step = stride_sec * fps
+    first = F.greatest(F.floor((low - window - 1) / step), F.lit(0)).cast("int")
+    last = F.floor((high + 1) / step).cast("int")
+    out = rows.where((low >= 0) & (high > low)).withColumn("__w", F.explode(F.sequence(first, F.greatest(first, last))))
+    start = F.floor(F.col("__w") * stride_sec * fps + 0.5)
+    return out.where((start < high) & (start + window > low)).withColumn("clip_index", F.col("__w") + 1).drop("__w")
+
+
 def window_frames(windows: DataFrame, stream: DataFrame, keys: list[str], frame: str, window: int, length: str, defaults: dict[str, object], padded: dict[str, object]) -> DataFrame:
     """Exactly ``window`` rows per window; positions at or after ``length`` are padding."""
     spine = windows.withColumn("offset", F.explode(F.sequence(F.lit(0), F.lit(window - 1)))).withColumn(frame, F.col("start_idx") + F.col("offset"))

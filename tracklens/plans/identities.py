@@ -53,6 +53,32 @@ g2 AS (SELECT * FROM (SELECT s.*, row_number() OVER (PARTITION BY s.scene, s.chu
 prim AS (SELECT scene, chunk, camera, segment_id, person, similarity FROM g1 UNION ALL SELECT scene, chunk, camera, segment_id, person, similarity FROM g2)"""
 
 
+# the merge fold: one step per candidate of a clip, in the order of persons, similarity and segment
+_MERGES = f"""{_GREEDY},
+fs AS (SELECT scene, chunk, camera, segment_id, list(DISTINCT CAST(frame_idx % 40 AS INTEGER)) AS frame_set FROM face GROUP BY ALL),
+items AS (SELECT s.scene, s.chunk, s.camera, s.person, s.segment_id, s.similarity, l.segment_id AS lead_id, l.similarity AS lead_similarity, f.frame_set, g.frame_set AS lead_frames,
+  row_number() OVER (PARTITION BY s.scene, s.chunk, s.camera ORDER BY s.person, s.similarity DESC, s.segment_id) AS i
+  FROM scores s JOIN prim l ON l.scene = s.scene AND l.chunk = s.chunk AND l.camera = s.camera AND l.person = s.person
+  JOIN fs f ON f.scene = s.scene AND f.chunk = s.chunk AND f.camera = s.camera AND f.segment_id = s.segment_id
+  JOIN fs g ON g.scene = l.scene AND g.chunk = l.chunk AND g.camera = l.camera AND g.segment_id = l.segment_id
+  WHERE NOT EXISTS (SELECT 1 FROM prim u WHERE u.scene = s.scene AND u.chunk = s.chunk AND u.camera = s.camera AND u.segment_id = s.segment_id)),
+steps AS (
+  SELECT DISTINCT scene, chunk, camera, CAST(0 AS BIGINT) AS i, CAST([] AS INTEGER[]) AS used, CAST(NULL AS INTEGER) AS person, CAST([] AS INTEGER[]) AS grp,
+    CAST(NULL AS INTEGER) AS segment_id, CAST(NULL AS INTEGER) AS lead_id, CAST(NULL AS DOUBLE) AS similarity, 0 AS overlap, false AS near, false AS free FROM items
+  UNION ALL
+  SELECT scene, chunk, camera, i, CASE WHEN free AND near AND overlap <= 5 THEN list_append(used, segment_id) ELSE used END, person,
+    CASE WHEN free AND near AND overlap <= 5 THEN list_distinct(list_concat(now, frame_set)) ELSE now END, segment_id, lead_id, similarity, overlap, near, free
+  FROM (SELECT *, CAST(len(list_intersect(now, frame_set)) AS INTEGER) AS overlap FROM (
+    SELECT x.scene, x.chunk, x.camera, x.i, x.person, x.segment_id, x.lead_id, x.similarity, x.frame_set, p.used,
+      CASE WHEN p.person IS NOT DISTINCT FROM x.person THEN p.grp ELSE x.lead_frames END AS now,
+      x.similarity >= 0.02 AND x.lead_similarity - x.similarity <= 0.30 AS near, NOT list_contains(p.used, x.segment_id) AS free
+    FROM steps p JOIN items x ON x.scene = p.scene AND x.chunk = p.chunk AND x.camera = p.camera AND x.i = p.i + 1))),
+merges AS (SELECT scene, chunk, camera, person, segment_id, lead_id, similarity, overlap,
+  CASE WHEN near AND overlap <= 5 THEN 'similar_embedding_non_overlapping_frames'
+    ELSE concat_ws(',', CASE WHEN NOT near THEN 'below_similarity_or_margin_threshold' END, CASE WHEN overlap > 5 THEN 'too_much_frame_overlap' END) END AS reason,
+  near AND overlap <= 5 AS merged FROM steps WHERE free)"""
+
+
 def _face(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.face_emb(spark, sf_dir)
 
@@ -142,7 +168,7 @@ def _merges(face: DataFrame) -> tuple[DataFrame, DataFrame]:
     return primary, idn.merged_tracks(scores, primary, frames, CFG)
 
 
-@query(None)
+@query(f"WITH RECURSIVE {_MERGES} SELECT * FROM merges")
 def q21_merge_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _merges(_face(spark, sf_dir))[1]
 
@@ -168,12 +194,47 @@ def q24_reason_hist(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.reason_histogram(evidence.unionByName(low), ["scene", "chunk"]).join(evidence.unionByName(low).groupBy("reason").agg(F.countDistinct("scene").alias("scenes")), "reason")
 
 
-@query(None)
+@query(f"""WITH RECURSIVE {_MERGES}, extra AS (SELECT scene, chunk, camera, person, count(*) AS extra FROM merges WHERE merged GROUP BY ALL)
+SELECT scene, count(DISTINCT chunk * 10 + camera) AS clips, count(*) AS primaries, count(extra) AS merged_groups, CAST(coalesce(sum(extra), 0) AS BIGINT) AS extra_segments,
+  round(count(extra) / count(*), 6) AS merged_ratio FROM prim LEFT JOIN extra USING (scene, chunk, camera, person) GROUP BY scene""")
 def q25_merged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     primary, merges = _merges(_face(spark, sf_dir))
     return reports.merged_report(primary, merges)
 
 
+@query(f"""WITH {_CHOSEN}, seg AS (SELECT t.scene, t.camera, t.n, coalesce(s.person, s.rest) AS person, s.conflicts FROM top t JOIN chosen c ON c.scene = t.scene AND c.selected = t.chunk
+  LEFT JOIN segs s ON s.scene = t.scene AND s.chunk = t.chunk AND s.camera = t.camera AND s.segment_id = t.segment_id),
+clips AS (SELECT scene, camera, count(*) AS segments, count(person) AS resolved, coalesce(sum(conflicts), 0) AS conflicts, count(*) FILTER (WHERE n < 3) AS low FROM seg GROUP BY ALL),
+scenes AS (SELECT scene, count(*) AS clips, count(*) FILTER (WHERE resolved = 0) AS bare, sum(segments) AS segments, sum(resolved) AS resolved, sum(segments - resolved) AS unresolved, sum(conflicts) AS conflicts, sum(low) AS low FROM clips GROUP BY scene),
+told AS (SELECT scenes.*, attempts, status, CASE WHEN scenes.scene % 2 = 0 THEN 'train' ELSE 'val' END AS split, greatest(unresolved, conflicts, low, bare) > 0 AS problem FROM scenes JOIN chosen USING (scene))
+SELECT split, count(DISTINCT split) AS splits, count(*) AS scenes, count(*) FILTER (WHERE problem) AS problem_scenes, count(*) FILTER (WHERE problem OR attempts > 1 OR clips < 3) AS diagnostic_scenes,
+  CAST(sum(clips) AS BIGINT) AS clips, CAST(sum(bare) AS BIGINT) AS clips_without_representatives, CAST(sum(segments) AS BIGINT) AS total_segments, CAST(sum(resolved) AS BIGINT) AS resolved_segments,
+  CAST(sum(unresolved) AS BIGINT) AS unresolved_segments, CAST(sum(conflicts) AS BIGINT) AS conflict_segments, CAST(0 AS BIGINT) AS missing_embedding_segments, CAST(sum(low) AS BIGINT) AS low_embedding_count_segments,
+  count(*) FILTER (WHERE attempts > 1) AS fallback_scenes, count(*) FILTER (WHERE status = 'all_chunks_conflicted') AS all_chunks_conflicted_scenes
+FROM told GROUP BY GROUPING SETS ((), (split))""")
+def q93_mapping_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of the selected chunks; even scenes are the train split."""
+    face = _face(spark, sf_dir)
+    segments = _segments(face)
+    chosen = idn.chunk_fallback(idn.attempts(segments))
+    top = idn.ranked(idn.aggregates(face), CFG.top_k).join(chosen.select("scene", F.col("selected").alias("chunk")), ["scene", "chunk"])
+    rows = top.select(*idn.SEGMENT, "n", "finite").join(segments, idn.SEGMENT, "left")
+    clips = rows.groupBy("scene", "camera").agg(
+        F.count("*").alias("segments"),
+        F.count("person").alias("resolved"),
+        F.coalesce(F.sum("conflicts"), F.lit(0)).alias("conflicts"),
+        F.count_if((F.col("n") >= CFG.min_embeddings) & ~F.col("finite")).alias("missing"),
+        F.count_if(F.col("n") < CFG.min_embeddings).alias("low_count"),
+        F.count("person").alias("representatives"),
+    )
+    return reports.mapping_report(clips.withColumn("split", F.when(F.col("scene") % 2 == 0, "train").otherwise("val")), chosen)
+
+
+@query(f"""WITH {_BEST} SELECT "rows" || 'x' || cols AS shape, count(*) AS n FROM best GROUP BY 1""")
+def q94_matrix_shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.shape_histogram(idn.best_cells(idn.camera_pairs(_selected(_face(spark, sf_dir))), DIGITS))
+
+
 @query("""WITH m AS (SELECT label % 7 AS person, vec_id % 5 AS clip, vec_id AS segment_id, vec_id % 3 AS source FROM embeddings), u AS (SELECT person, clip, list(DISTINCT segment_id ORDER BY segment_id) AS ids, min(source) AS source FROM m GROUP BY ALL)
 SELECT CAST(person AS INTEGER) AS person, clip, source, CAST(pos - 1 AS INTEGER) AS pos, ids[pos] AS segment_id FROM (SELECT *, unnest(range(1, len(ids) + 1)) AS pos FROM u)""")
 def q47_assignment_unnest(spark: SparkSession, sf_dir: str) -> DataFrame:

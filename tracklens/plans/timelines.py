@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import names, scalars, texts
 from ..operators import manifest as mf
+from ..operators import reports
 from ..operators import timeline as tl
 from . import views as v
 
@@ -374,6 +375,144 @@ def q90_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.stream_drop_counts(_streams(spark, sf_dir), ["scene"])
 
 
+#: Windows by split (test scenes are those divisible by 5): frames, seconds and stride in seconds.
+_SHAPES = {"test": (8, 1.6, 1.6), "train": (12, 2.4, 1.2)}
+
+#: All rules of a pair and of its windows, in order. Errors are frames without a mask.
+_ORDERED = f"""{v.TRACK},
+audio AS (SELECT o_custkey AS member, round(sum(o_totalprice) / 40000, 1) AS seconds, max(o_totalprice) >= 60000 AS allowed
+  FROM orders WHERE o_orderpriority = '1-URGENT' GROUP BY 1),
+mem AS (SELECT c_custkey AS member, c_custkey // 3 AS scene, (c_custkey // 3) % 5 = 0 AS test FROM customer),
+len AS (SELECT member, max(frame) FILTER (WHERE modality = 'purchase') + 1 AS p, max(frame) FILTER (WHERE modality = 'click') + 1 AS c,
+  max(frame) FILTER (WHERE modality = 'view') + 1 AS w, max(frame) FILTER (WHERE modality = 'signup') + 1 AS s FROM track GROUP BY 1),
+met AS (SELECT a.scene, a.test, a.member AS src, b.member AS tgt, x.seconds AS ss, x.allowed AS sa, y.seconds AS ts, y.allowed AS ta, p, c, w, s,
+  least(p, c, w, s) AS frames, least(x.seconds, y.seconds, p / 5.0::DOUBLE, c / 5.0::DOUBLE, w / 5.0::DOUBLE, s / 5.0::DOUBLE) AS usable,
+  CASE WHEN a.test THEN 8 ELSE 12 END AS size, CASE WHEN a.test THEN 1.6::DOUBLE ELSE 2.4::DOUBLE END AS sec,
+  CASE WHEN a.test THEN 1.6::DOUBLE ELSE 1.2::DOUBLE END AS stride
+  FROM mem a JOIN mem b ON a.scene = b.scene AND a.member <> b.member
+  LEFT JOIN audio x ON x.member = a.member LEFT JOIN audio y ON y.member = b.member LEFT JOIN len ON len.member = b.member),
+streams AS (SELECT *, floor((usable - sec + 1e-6) / stride) + 1 AS windows,
+  CASE WHEN ss IS NULL THEN 'missing_src_audio' WHEN NOT sa THEN 'src_audio_stem_filtered' WHEN ss < 2 THEN 'src_audio_duration_filtered'
+  WHEN ts IS NULL THEN 'missing_tgt_audio' WHEN NOT ta THEN 'tgt_audio_stem_filtered' WHEN ts < 2 THEN 'tgt_audio_duration_filtered'
+  WHEN p IS NULL THEN 'missing_target_purchase' WHEN c IS NULL THEN 'missing_target_click' WHEN w IS NULL THEN 'missing_target_view'
+  WHEN s IS NULL THEN 'missing_target_signup' WHEN usable - sec + 1e-6 < 0 THEN 'no_complete_window' END AS drop_reason FROM met),
+numbered AS (SELECT scene, test, src, tgt, frames, size, stride, unnest(range(0, CAST(windows AS BIGINT))) AS k FROM streams WHERE drop_reason IS NULL),
+spans AS (SELECT *, CAST(k + 1 AS INTEGER) AS clip_index, CAST(floor(k * stride * 5 + 0.5) AS INTEGER) AS start_idx,
+  CAST(floor(k * stride * 5 + 0.5) AS INTEGER) + size AS end_idx FROM numbered),
+chunks AS (SELECT member, frame // 20 * 20 AS low, count(*) FILTER (WHERE modality = 'view') >= 5 AS ignored,
+  count(*) FILTER (WHERE modality = 'error') >= 4 AS conflicted FROM track GROUP BY 1, 2),
+cnt AS (SELECT src, tgt, k, count(DISTINCT frame) FILTER (WHERE modality = 'click') AS n_click, count(DISTINCT frame) FILTER (WHERE modality = 'view') AS n_view,
+  count(DISTINCT frame) FILTER (WHERE modality = 'signup') AS n_signup, count(DISTINCT frame) FILTER (WHERE modality = 'purchase') AS n_purchase,
+  count(DISTINCT frame) FILTER (WHERE modality = 'error') AS n_error, count(DISTINCT frame) FILTER (WHERE modality = 'click' AND pixels >= 50) AS n_masked
+  FROM spans JOIN track ON track.member = tgt AND frame >= start_idx AND frame < end_idx GROUP BY 1, 2, 3),
+hit AS (SELECT src, tgt, k, bool_or(ignored) AS ignored, bool_or(conflicted) AS conflicted
+  FROM spans JOIN chunks ON chunks.member = src AND low < end_idx AND low + 20 > start_idx GROUP BY 1, 2, 3),
+filled AS (SELECT spans.*, coalesce(n_click, 0) AS n_click, coalesce(n_view, 0) AS n_view, coalesce(n_signup, 0) AS n_signup,
+  coalesce(n_purchase, 0) AS n_purchase, size - coalesce(n_error, 0) AS n_mask, coalesce(n_masked, 0) AS n_masked, ignored, conflicted
+  FROM spans LEFT JOIN cnt USING (src, tgt, k) LEFT JOIN hit USING (src, tgt, k)),
+ruled AS (SELECT *, CASE WHEN NOT test AND end_idx > frames THEN 'window_exceeds_modality' WHEN ignored THEN 'ignored_source_video_chunk'
+  WHEN conflicted THEN 'conflicted_source_video_chunk' WHEN n_click = 0 THEN 'no_valid_clip_in_window' WHEN n_masked = 0 THEN 'fully_absent_target_visual'
+  WHEN n_view = 0 THEN 'no_valid_pe_in_window' WHEN n_signup = 0 THEN 'no_valid_t5_text_in_window' WHEN n_purchase = 0 THEN 'no_valid_geometry_in_window'
+  WHEN n_mask < size THEN 'incomplete_target_mask_window' WHEN test AND n_purchase / size < 0.25 THEN 'low_geometry_valid_ratio' END AS drop_reason FROM filled)"""
+
+_ORDERED_RULES = mf.Ordered(valid=RULES.modalities, visual="click", geometry="purchase")
+
+
+def _shaped(test: Column, at: int) -> Column:
+    return F.when(test, F.lit(_SHAPES["test"][at])).otherwise(F.lit(_SHAPES["train"][at]))
+
+
+def _ordered_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of customers in a scene: orders stand in for recordings, events for modalities."""
+    members = v.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("member"))
+    members = members.withColumn("scene", F.floor(F.col("member") / 3).cast("long")).withColumn("camera", (F.col("member") % 3 + 1).cast("int"))
+    orders = v.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("member"))
+    audio = orders.agg(F.round(F.sum("o_totalprice") / 40000, 1).alias("seconds"), (F.max("o_totalprice") >= 60000).alias("allowed"))
+    lengths = v.track(spark, sf_dir).groupBy("member", "modality").agg((F.max("frame") + 1).alias("frames"))
+    found = mf.audio_reasons(mf.pairs(members, ["scene"]), audio, 2.0).withColumn("is_test", F.col("scene") % 5 == 0)
+    test = F.col("is_test")
+    return mf.stream_reasons(found, lengths, ["purchase", "click", "view", "signup"], _shaped(test, 1), _shaped(test, 2), 5.0)
+
+
+def _ordered_windows(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
+    test = F.col("scene") % 5 == 0
+    shape = _shaped(test, 0), _shaped(test, 2), 5.0
+    windows = mf.pair_windows(pairs, *shape[:2], shape[2])
+    stream = v.track(spark, sf_dir)
+    named = {"n_click": F.col("modality") == "click", "n_view": F.col("modality") == "view", "n_signup": F.col("modality") == "signup"}
+    named |= {"n_purchase": F.col("modality") == "purchase", "n_error": F.col("modality") == "error"}
+    named["n_masked"] = named["n_click"] & (F.col("pixels") >= 50)
+    # one row per frame first, so distinct frames are plain sums afterwards
+    frames = stream.groupBy("member", "scene", "frame").agg(*[F.max(is_.cast("int")).alias(n) for n, is_ in named.items()])
+    met = tl.meeting_windows(frames, F.col("frame"), F.col("frame") + 1, *shape)
+    counts = met.groupBy("member", "scene", "clip_index").agg(*[F.sum(n).alias(n) for n in named])
+    every = windows.select(F.col("tgt").alias("member"), "scene", "clip_index").distinct()
+    counts = every.join(counts, ["member", "scene", "clip_index"], "left").fillna(0, list(named))
+    counts = counts.withColumn("n_mask", shape[0] - F.col("n_error")).drop("scene", "n_error")
+    chunks = stream.groupBy("member", "scene", (F.floor(F.col("frame") / v.CHUNK_FRAMES) * v.CHUNK_FRAMES).alias("low")).agg(
+        (F.count_if(F.col("modality") == "view") >= 5).alias("ignored"), (F.count_if(F.col("modality") == "error") >= 4).alias("conflicted")
+    )
+    hits = tl.meeting_windows(chunks.where("ignored OR conflicted"), F.col("low"), F.col("low") + v.CHUNK_FRAMES, *shape)
+    blocked = hits.groupBy("member", "clip_index").agg(F.max("ignored").alias("ignored"), F.max("conflicted").alias("conflicted"))
+    return mf.ordered_reasons(windows, counts, blocked, _ORDERED_RULES)
+
+
+@query(f"""WITH {_ORDERED}
+SELECT drop_reason, test AS is_test, count(DISTINCT CASE WHEN drop_reason LIKE '%src\\_audio%' ESCAPE '\\' THEN CAST(src AS VARCHAR) ELSE src || '>' || tgt END) AS n
+FROM streams WHERE drop_reason IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT drop_reason, test, count(*) FROM ruled WHERE drop_reason IS NOT NULL GROUP BY 1, 2""")
+def q91_ordered_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rule in its order: a source's own once per source, a pair's once per pair, the others per window."""
+    pairs = _ordered_pairs(spark, sf_dir)
+    own = mf.stream_drop_counts(pairs, ["scene"], by=["is_test"])
+    windows = _ordered_windows(spark, sf_dir, pairs).where("drop_reason IS NOT NULL").groupBy("drop_reason", "is_test").agg(F.count("*").alias("n"))
+    return own.select("drop_reason", "is_test", "n").unionByName(windows)
+
+
+_ORDERED_COLUMNS = ["scene", "is_test", "src", "tgt", "clip_index", "start_idx", "end_idx", "n_click", "n_masked", "n_view", "n_signup", "n_purchase", "n_mask"]
+
+
+@query(f"""WITH {_ORDERED}
+SELECT {', '.join(_ORDERED_COLUMNS).replace('is_test', 'test AS is_test')}, round(n_purchase / size, 6) AS geometry_ratio FROM ruled WHERE drop_reason IS NULL""")
+def q92_ordered_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mf.manifest(_ordered_windows(spark, sf_dir, _ordered_pairs(spark, sf_dir)))
+    return rows.select(*_ORDERED_COLUMNS, F.round("geometry_ratio", 6).alias("geometry_ratio"))
+
+
+@query(f"""WITH {_ATTEMPTS}, bad AS (SELECT scene, chunk FROM att WHERE conflicts > 0 UNION SELECT scene, chunk FROM att WHERE scene IN (SELECT scene FROM att GROUP BY scene HAVING min(conflicts) > 0)),
+seg AS (SELECT o_custkey AS scene, CAST(o_orderkey % 5 + 1 AS INTEGER) AS chunk, o_orderkey AS segment_id, CAST(o_orderkey % 3 + 1 AS INTEGER) AS person_id FROM orders),
+kept AS (SELECT * FROM seg ANTI JOIN bad USING (scene, chunk)),
+enough AS (SELECT scene FROM kept GROUP BY scene HAVING count(DISTINCT person_id) >= 2)
+SELECT scene, chunk, segment_id, person_id, CASE WHEN bad.scene IS NOT NULL THEN 'conflicted_chunk' WHEN enough.scene IS NULL THEN 'too_few_mapped_people' END AS excluded
+FROM seg LEFT JOIN bad USING (scene, chunk) LEFT JOIN enough USING (scene)""")
+def q95_excluded_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = v.table(spark, sf_dir, "orders")
+    segments = orders.select(F.col("o_custkey").alias("scene"), (F.col("o_orderkey") % 5 + 1).cast("int").alias("chunk"), F.col("o_orderkey").alias("segment_id"), (F.col("o_orderkey") % 3 + 1).cast("int").alias("person_id"))
+    conflicted = tl.conflicted_chunks(_attempts(spark, sf_dir), ["scene"])
+    return mf.assignment_reasons(segments, conflicted, ["scene"], least_people=2)
+
+
+@query(f"""WITH {_ORDERED}, best AS (SELECT member, modality, frame, max(value) AS value FROM track WHERE modality IN ('click', 'view', 'signup', 'purchase') GROUP BY 1, 2, 3)
+SELECT scene, src, tgt, clip_index, m.modality, count(*) AS frames, count(*) FILTER (WHERE frame IS NOT NULL) AS valid, round(coalesce(sum(value), 0), 4) AS total
+FROM (SELECT *, unnest(range(start_idx, end_idx)) AS place FROM ruled WHERE drop_reason IS NULL) r CROSS JOIN (SELECT unnest(['click', 'view', 'signup', 'purchase']) AS modality) m
+LEFT JOIN best ON best.member = tgt AND best.modality = m.modality AND best.frame = place GROUP BY ALL""")
+def q96_window_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the sidecars of the manifest's windows hold, by window and modality."""
+    windows = mf.manifest(_ordered_windows(spark, sf_dir, _ordered_pairs(spark, sf_dir)))
+    modalities = [m for m, _ in RULES.modalities]
+    stream = v.track(spark, sf_dir).where(F.col("modality").isin(modalities)).groupBy("member", "modality", "frame").agg(F.max("value").alias("value"))
+    rows = mf.sidecar_rows(windows, stream, modalities, ["value"])
+    return rows.groupBy("scene", "src", "tgt", "clip_index", "modality").agg(F.count("*").alias("frames"), F.count_if("valid").alias("valid"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 4).alias("total"))
+
+
+@query("""SELECT o_orderpriority AS step, o_orderstatus AS status, count(*) AS jobs, count(*) FILTER (WHERE o_totalprice < 20000) AS failed, round(sum(o_totalprice), 2) AS amount,
+  CAST(grouping(o_orderpriority) * 2 + grouping(o_orderstatus) AS INTEGER) AS level FROM orders GROUP BY GROUPING SETS ((), (o_orderpriority), (o_orderpriority, o_orderstatus))""")
+def q97_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as jobs of a run; those under a price failed."""
+    jobs = v.table(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("step"), F.col("o_orderstatus").alias("status"), F.when(F.col("o_totalprice") < 20000, "too cheap").alias("error"), F.col("o_totalprice").alias("amount"))
+    return reports.run_summary(jobs, "step", "status", "error", ["amount"]).withColumn("amount", F.round("amount", 2))
+
+
 @query(f"""WITH {_ATTEMPTS}, a AS (SELECT scene, chunk, row_number() OVER (PARTITION BY scene ORDER BY chunk) AS position FROM att), b AS (SELECT scene, chunk, row_number() OVER (PARTITION BY scene ORDER BY chunk) AS position FROM att WHERE conflicts < 3)
 SELECT coalesce(a.scene, b.scene) AS part, CAST(coalesce(a.position, b.position) AS INTEGER) AS position, a.scene || '|' || a.chunk AS key_before, b.scene || '|' || b.chunk AS key_after
 FROM a FULL JOIN b ON a.scene = b.scene AND a.position = b.position WHERE (a.scene || '|' || a.chunk) IS DISTINCT FROM (b.scene || '|' || b.chunk)""")
