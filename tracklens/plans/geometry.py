@@ -202,6 +202,11 @@ def q81_lifted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masks.lifted(frames, ["vec_id"], Lift(min_face_pixels=6, min_depth_pixels=4, min_boundary_pixels=6))
 
 
-@query(None)
+@query("""WITH m AS (SELECT label, list_position(embedding, list_max(embedding)) - 1 AS at_cell FROM embeddings),
+r AS (SELECT unnest(range(8)) AS y), c AS (SELECT unnest(range(8)) AS x),
+cells AS (SELECT DISTINCT label, y, x FROM m, r, c WHERE abs(y - at_cell // 8) <= 2 AND abs(x - at_cell % 8) <= 2),
+packed AS (SELECT label, y, CAST(sum(1 << (7 - x)) AS INTEGER) AS bits, count(*) AS n FROM cells GROUP BY ALL)
+SELECT label, 8 AS h, 8 AS w, CAST(sum(coalesce(n, 0)) AS INTEGER) AS n_pix, string_agg(printf('%02X', coalesce(bits, 0)), '' ORDER BY y) AS bits
+FROM (SELECT DISTINCT label FROM m) CROSS JOIN r LEFT JOIN packed USING (label, y) GROUP BY label""")
 def q82_union_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return masks.union_masks(_depth_frames(spark, sf_dir), ["label"]).select("label", "h", "w", "n_pix", F.hex("bits").alias("bits"))
