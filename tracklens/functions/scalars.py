@@ -68,6 +68,18 @@ def nearest_multiple(x: Column | str, patch: int) -> Column:
     return F.greatest(F.when(x - below < below + patch - x, below).otherwise(below + patch), F.lit(1)).cast("int")
 
 
+def exact_root(n: Column | str) -> Column:
+    """Integer square root of a square number, null for any other number."""
+    root = F.round(F.sqrt(F.when(col(n) >= 0, col(n).cast("double")))).cast("long")
+    wide = root.cast("decimal(19,0)")
+    return F.when(wide * wide == col(n), root)
+
+
+def json_safe(x: Column | str) -> Column:
+    """A number that JSON can hold: null for NaN and infinities."""
+    return F.when(finite(x), col(x))
+
+
 def dot(a: Column | str, b: Column | str) -> Column:
     return F.aggregate(F.zip_with(col(a), col(b), lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 

@@ -106,9 +106,12 @@ def mapping_report(clips: DataFrame, scenes: DataFrame) -> DataFrame:
 
 
 def html_table(rows: DataFrame, title: str, limit: int = 1000) -> str:
-    """A small report table as HTML; at most ``limit`` rows reach the driver."""
+    """A small report table as HTML; at most ``limit`` rows are shown, and a last line says where there are more."""
     from html import escape
 
     head = "".join(f"<th>{escape(c)}</th>" for c in rows.columns)
-    body = "".join("<tr>" + "".join(f"<td>{escape('-' if x is None else f'{x:.3f}' if isinstance(x, float) else str(x))}</td>" for x in r) + "</tr>" for r in rows.limit(limit).collect())
+    found = rows.limit(limit + 1).collect()
+    body = "".join("<tr>" + "".join(f"<td>{escape('-' if x is None else f'{x:.3f}' if isinstance(x, float) else str(x))}</td>" for x in r) + "</tr>" for r in found[:limit])
+    if len(found) > limit:
+        body += f"<tr><td colspan='{len(rows.columns)}'>only the first {limit} rows are shown</td></tr>"
     return f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{escape(title)}</title></head><body><h1>{escape(title)}</h1><table><tr>{head}</tr>{body}</table></body></html>"
