@@ -45,8 +45,8 @@ from .common import written
 from .page_templates import Layout
 
 #: Pages that texts are taken from, at most; runs of text of each; layouts made with each page's texts.
-TRAIN_PAGES, TRAIN_RUNS, LAYOUTS = 300, 60, 5
-TREES, TREE_DEPTH, STEP = 24, 5, 0.3
+TRAIN_PAGES, TRAIN_RUNS, LAYOUTS = 300, 60, 3
+TREES, TREE_DEPTH, STEP = 10, 6, 0.4
 #: Log odds that a mixed element costs.
 MIXED_COST = 0.5
 #: Pages of a batch of nodes, and their characters, about.
