@@ -511,4 +511,4 @@ def test_registered_once_per_operator(name):
     from tracklens.llm import queries
 
     numbers = sorted(int(q[2:].split("_")[0]) for q in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and name in queries.QUERIES
+    assert numbers == list(range(1, 14)) and name in queries.QUERIES

@@ -393,7 +393,8 @@ def near_words(words: DataFrame, trees: dict[int, tuple[Tree, int]] | None = Non
 
         def answered() -> Iterator[pa.RecordBatch]:
             nonlocal cell
-            if not asking[0]:
+            if not asking[0] or not lying[0]:  # a part of a cut cell may hold no word
+                asking[0].clear(), asking[1].clear()
                 return
             if cell is None:
                 cell = Cell(lying[0], np.array(lying[1], np.int64))
@@ -432,7 +433,7 @@ def near_words(words: DataFrame, trees: dict[int, tuple[Tree, int]] | None = Non
                     yield from answered()
                 key = now, side
                 held = lying if side == 0 else asking
-                most = len(text[a]) * ASKED_AT_ONCE and max(1, min(ASKED_AT_ONCE, 2_000_000 // len(text[a])))
+                most = max(1, min(ASKED_AT_ONCE, 2_000_000 // len(text[a])))
                 for at in range(a, b, most):
                     held[0].extend(text[at : min(b, at + most)])
                     held[1].extend(n[at : min(b, at + most)])
