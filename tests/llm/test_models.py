@@ -181,35 +181,68 @@ def test_decontamination_cases(spark):
     assert decontam.leaks(docs_of(spark, rows), items.limit(0)).count() == 0
 
 
-def test_hamming_blocks_are_complete():
-    """Fingerprints within the radius agree in a whole block; the blocks cover all bits once."""
-    gen = random.Random(5)
-    parts = decontam.blocks()
-    assert sorted(b for first, width in parts for b in range(first, first + width)) == list(range(64))
-    assert len(parts) == decontam.RADIUS + 1
-    for _ in range(2000):
-        x = 0
-        for b in gen.sample(range(64), decontam.RADIUS):
-            x |= 1 << b
-        assert any((x >> first) & ((1 << width) - 1) == 0 for first, width in parts)
+def prints(spark, texts):
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string")
+    rows = rows.withColumn("h", decontam.shingle_hashes(decontam.words(F.col("t"))))
+    return rows.select("k", F.size(decontam.words(F.col("t"))).alias("n_words"), F.size("h").alias("n_shingles"), decontam.fingerprint(F.col("h")).alias("p"))
 
 
 def test_within_radius_matches_all_pairs(spark):
-    """The block join against the distance of every pair, each pair once."""
+    """The block join against all pairs of a size, each pair once; the radius holds all pairs that reach the similarity."""
     gen = random.Random(8)
-    signed = lambda x: x - (1 << 64) if x >= 1 << 63 else x
-    items = [(k, gen.choice((10, 20)), gen.getrandbits(64)) for k in range(60)]
-    windows = []
-    for k in range(300):
-        _, size, value = gen.choice(items)
-        for b in gen.sample(range(64), gen.randint(0, 30)):
-            value ^= 1 << b
-        windows.append((k, size, value))
-    w = spark.createDataFrame([(k, n, signed(x)) for k, n, x in windows], "doc_id long, n_words int, print long")
-    i = spark.createDataFrame([(k, n, signed(x)) for k, n, x in items], "item_key long, n_words int, item_print long")
-    got = sorted((r.doc_id, r.item_key, r.distance) for r in decontam.within_radius(w, i).collect())
-    want = sorted((d, k, (x ^ y).bit_count()) for d, n, x in windows for k, m, y in items if n == m and (x ^ y).bit_count() <= decontam.RADIUS)
-    assert got == want
+    items = [" ".join(gen.choice(WORDS) for _ in range(n)) for n in (3, 5, 11, 12, 20, 39, 60, 120) for _ in range(12)]
+    texts = []
+    for k in range(600):
+        own = gen.choice(items).split()
+        for _ in range(gen.choice((0, 1, 1, 2, 3))):
+            own[gen.choice((0, len(own) - 1, gen.randrange(len(own))))] = gen.choice(WORDS)
+        texts.append(" ".join(own))
+    w, i = prints(spark, texts).withColumnRenamed("p", "print").drop("n_shingles"), prints(spark, items).withColumnsRenamed({"p": "item_print", "k": "item_key"})
+    got = sorted((r.k, r.item_key) for r in decontam.within_radius(w, i).collect())
+    own, of = [{r[0]: r for r in x.collect()} for x in (w, i)]
+    want, similar = [], 0
+    for a, x in own.items():
+        for b, y in of.items():
+            if x.n_words == y.n_words:
+                near = sum(p != q for p, q in zip(x.print, y.item_print, strict=True)) <= 2 * (y.n_shingles // 7)
+                if near:
+                    want.append((a, b))
+                u, v = (collections.Counter(tuple(s[j : j + 5]) for j in range(max(len(s) - 4, 1))) for s in (texts[a].split(), items[b].split()))
+                if 4 * (u & v).total() >= 3 * (u | v).total():
+                    similar += 1
+                    assert near
+    assert got == sorted(want) and similar > 200
+
+
+def test_blocks_select(spark):
+    """On 10,000 random items a window's blocks match few of its size; no block value is hot."""
+    gen = random.Random(9)
+    text = lambda: " ".join(gen.choice(WORDS) for _ in range(gen.choice((12, 16, 20, 30))))
+    items, windows = (prints(spark, [text() for _ in range(n)]) for n in (10_000, 300))
+    keys = lambda rows: rows.select("k", "n_words", F.posexplode("p").alias("block", "value")).where("value IS NOT NULL")
+    items, windows = keys(items).cache(), keys(windows).cache()
+    matches = windows.join(items.withColumnRenamed("k", "item"), ["n_words", "block", "value"]).count()
+    sizes = items.groupBy("n_words").agg(F.count_distinct("k").alias("items"))
+    pairs = windows.select("k", "n_words").distinct().join(sizes, "n_words").agg(F.sum("items")).first()[0]
+    assert matches < 0.001 * pairs
+    assert items.groupBy("n_words", "block", "value").count().agg(F.max("count")).first()[0] < 10
+    items.unpersist(), windows.unpersist()
+
+
+def test_changed_words_are_found(spark):
+    """6,000 windows with one changed word (similarity 0.75 and more): all are found."""
+    gen = random.Random(10)
+    items = [" ".join(gen.choice(WORDS) for _ in range(n)) for n in (39, 20, 16) for _ in range(200)]
+    rows, want = [], set()
+    for k in range(6000):
+        item = k % len(items)
+        own = items[item].split()
+        at = gen.randrange(2, 37) if len(own) == 39 else gen.choice((0, 1, len(own) - 1)) if len(own) == 20 else gen.choice((0, len(own) - 1))
+        own[at] = f"changed{k}"
+        rows.append((k, " ".join(["before", *own, "after"])))
+        want.add((k, item))
+    found = decontam.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} >= want
 
 
 #: Items and the position of one changed word: the window is similar (0.75, 0.78), the fingerprints are over 15 bits apart.
@@ -436,6 +469,39 @@ def test_language_rejects_unlearned_texts(spark):
     assert out.accepted[out.lang.isin(model.langs)].mean() > 0.995
 
 
+def test_language_ids_decide_nothing(spark, tmp_path):
+    """Shifted, null and equal ids give the same accepted texts, and as many calibration texts."""
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text", "lang")
+    odd = spark.createDataFrame([(10**6, "xq zj vw kk " * 20, None), (10**6 + 1, "語言識別是一個問題", None)], docs.schema)
+    texts = []
+    for ids in (F.col("doc_id"), F.col("doc_id") + 10, F.lit(None).cast("long"), F.lit(7).cast("long")):
+        rows = docs.unionByName(odd).withColumn("doc_id", ids)
+        texts.append(sorted(r.text for r in corpus_pipeline.language_id(spark, rows, DATA).select("text").collect()))
+    assert texts[0] == texts[1] == texts[2] == texts[3] and len(texts[0]) > 900
+
+
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Copies, null and equal ids: the driver gets at most twice ``calibrate_docs`` texts a language."""
+    sizes = []
+    monkeypatch.setattr(lang_id, "calibrate", lambda model, tests: sizes.append(tests.lang.value_counts().max() if len(tests) else 0))
+    rows = [(None, f"the and of with {k % 7} from that {k // 7 if k % 2 else 0}", "en") for k in range(3000)] + [(1, f"der die und {k}", "de") for k in range(3000)]
+    lang_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"), calibrate_docs=20)
+    assert 0 < sizes[0] <= 40
+
+
+@pytest.mark.parametrize("n", [1, 2, 5, 20])
+def test_language_with_few_texts_loses_none(spark, n):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("lang IN ('en', 'de') AND length(text) > 50").orderBy("doc_id")
+    few = docs.where("lang = 'de'").limit(n)
+    rows = docs.where("lang = 'en'").limit(300).unionByName(few)
+    out = lang_id.identify(few, lang_id.learn(rows)).collect()
+    assert all(r.lang_pred == "de" and r.accepted for r in out) and len(out) == n
+    alone = lang_id.identify(few, lang_id.learn(few)).collect()
+    assert all(r.lang_pred == "de" and r.accepted for r in alone)
+    copies = few.limit(1).crossJoin(spark.range(400)).drop("id")
+    assert all(r.accepted for r in lang_id.identify(copies, lang_id.learn(copies)).collect())
+
+
 def test_language_odd_rows(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     model = lang_id.learn(docs)

@@ -8,14 +8,18 @@ interpolation already resolved. A text is assigned the language of the lowest
 cross-entropy per character.
 
 Trigrams are counted in Spark over all labelled documents but a calibration
-sample of about ``CALIBRATE_DOCS`` documents a language, drawn by the hash of the
-id; the driver gets trigram types. The sample sets the temperature of the score
+sample of about ``CALIBRATE_DOCS`` distinct texts a language (twice as many at most),
+drawn by the hash of the text, never by the id; the driver gets trigram types. A
+language of fewer than ``5 * LEAST_CALIBRATION`` documents is counted whole. The
+sample sets the temperature of the score
 and, for each language, the median cross-entropy, the spread of one character and
 a cutoff. A text's excess is its cross-entropy over the median, less what its
 length explains (three standard deviations of a mean of so many characters). A
 text is rejected where its excess is above the cutoff of its language: the middle
 between what 99 % of the language's own texts stay below and what 95 % of foreign
-texts (of all other languages, and guessed ones) exceed.
+texts (of all other languages, and guessed ones) exceed. A language with fewer than
+``LEAST_CALIBRATION`` texts in the sample that are told right has no cutoff: nothing
+is rejected for it.
 
 Letters and combining marks make words; anything else separates them.
 
@@ -24,6 +28,10 @@ Defined results
     very long text             its whole cross-entropy counts
     ties                       the alphabetically first language
     repeated rows              one output row per input row
+    null and repeated ids      as any other: no decision depends on ids
+    equal labelled texts       each counts; in the sample they are one, and counted
+                               if their language has no other text
+    few labelled documents     the language is learned and rejects nothing
     no labelled document       every text is ``und`` and rejected
     empty table                an empty result
     extra columns              dropped unless listed in ``keep``
@@ -38,12 +46,14 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Documents a language that are kept out of the counts, for calibration, about.
 CALIBRATE_DOCS = 400
+#: Calibration texts without which a language rejects nothing.
+LEAST_CALIBRATION = 10
 #: Quantiles of the excess of own and of foreign texts that the cutoff lies between.
 OWN_QUANTILE, FOREIGN_QUANTILE = 0.99, 0.05
 #: Standard deviations of the mean over its characters that a text's length explains.
@@ -206,28 +216,36 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.view(np.int64)), pa.array(n, pa.int64())], names=["lang", "key", "n"])
 
 
-def learn(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", calibrate_docs: int = CALIBRATE_DOCS) -> Model | None:
+def learn(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", calibrate_docs: int = CALIBRATE_DOCS) -> Model | None:
     """Models of all languages among ``labelled`` documents (null languages and texts are left out)."""
-    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     grain = 1_000_000
-    # a fifth of a language at most is set aside
-    rate = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, min(grain // 5, -(-calibrate_docs * grain // n)))])
-    aside = F.pmod("h", F.lit(grain)) < rate[F.col("lang")]
+
+    def rate(n: int) -> int:
+        """A fifth at most, nothing of a language too small to be calibrated."""
+        return 0 if n < 5 * LEAST_CALIBRATION else min(grain // 5, -(-calibrate_docs * grain // n))
+
+    rates = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, rate(n))])
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    aside = F.pmod("h", F.lit(grain)) < rates[F.col("lang")]
 
     def counted(part: DataFrame) -> pd.DataFrame:
         return part.select("lang", "text").mapInArrow(_count, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n")).toPandas()
 
     counts = counted(rows.where(~aside))
-    if counts.empty:  # so few documents that all were set aside, or none with a letter
-        counts = counted(rows)
+    lost = sorted(set(sizes) - set(counts["lang"]))
+    if lost:  # all their texts were set aside, or have no letter
+        counts = pd.concat([counts, counted(rows.where(F.col("lang").isin(lost) & aside))])
     if counts.empty:
         return None
     model = fit(counts)
-    tests = _scored(rows.where(aside).select("lang", "text"), model, ["lang"]).toPandas()
-    calibrate(model, tests)
+    once = rows.where(aside & ~F.col("lang").isin(lost)).groupBy("lang", "h").agg(F.first("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    sample = once.withColumn("place", place).where(F.col("place") <= 2 * calibrate_docs)
+    calibrate(model, _scored(sample.select("lang", "text"), model, ["lang"]).toPandas())
     return model
 
 
@@ -250,7 +268,7 @@ def calibrate(model: Model, tests: pd.DataFrame) -> None:
     right = entropy.argmin(axis=1) == truth
     for k in range(size):
         own = right & (truth == k)
-        if own.sum() < 2:
+        if own.sum() < LEAST_CALIBRATION:
             continue
         e, m = entropy[own, k], n[own]
         middle = np.median(e)
