@@ -9,8 +9,8 @@ import pytest
 from tracklens.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
-#: Queries that run pixel kernels in Python.
-KERNELS = {"q80_ring_metrics", "q81_lifted_frames", "q82_union_masks"}
+#: Queries that run pixel kernels in Python, and those that read archives by a Python data source.
+KERNELS = {"q80_ring_metrics", "q81_lifted_frames", "q98_mask_archives", "q99_sidecar_files"}
 
 
 def plan(df) -> str:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..config import Lift, Refinement
 from ..functions import kernels
 from ..functions.scalars import finite
+from . import runs
 
 METRICS = "inside_median_depth double, outer_median_depth double, median_relative_depth_diff double, outer_edge_fraction double, outer_tail_relative_depth_diff double, depth_discontinuity_score double, rejected boolean"
 LIFTED = "status_code int, region_pixels int, valid_pixels int, gap_ratio double, gradient_p90 double, x_ray_mean double, y_ray_mean double, x_mean double, y_mean double, z_mean double, d_mean double"
@@ -74,32 +75,9 @@ def refine_counts(raw: DataFrame, kept: DataFrame, keys: list[str]) -> DataFrame
     return both.withColumn("rejected", F.col("original") - F.col("remaining")).withColumn("fully_removed", F.col("remaining") == 0)
 
 
-def _united(parts: pd.Series) -> bytes:
-    return np.bitwise_or.reduce([np.frombuffer(b, np.uint8) for b in parts]).tobytes()
-
-
 def union_masks(masks: DataFrame, keys: list[str]) -> DataFrame:
-    """Bitwise union of the masks of each key (segments of one person); different sizes are an error.
-
-    Masks of one batch are united before the shuffle, so a key's list holds one
-    mask for each batch and not one for each row. Null masks count for nothing.
-    """
-
-    def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pdf.groupby([*keys, "h", "w"], dropna=False, sort=False, as_index=False).agg(bits=("bits", _united))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pdf["bits"] = pdf.bits.map(_united)
-            pdf["n_pix"] = [int(np.unpackbits(np.frombuffer(b, np.uint8)).sum()) for b in pdf.bits]
-            yield pdf
-
-    shape = f"{_keys(masks, keys)}, h int, w int"
-    part = masks.where("bits IS NOT NULL").select(*keys, "h", "w", "bits").mapInPandas(combine, f"{shape}, bits binary")
-    size = F.when((F.min("h") == F.max("h")) & (F.min("w") == F.max("w")), F.min("h")).otherwise(F.raise_error("masks of one key differ in size").cast("int"))
-    grouped = part.groupBy(*keys).agg(size.alias("h"), F.min("w").alias("w"), F.collect_list("bits").alias("bits"))
-    return grouped.mapInPandas(run, f"{shape}, bits binary, n_pix int")
+    """Bitwise union of the masks of each key (segments of one person) with ``n_pix``; different sizes are an error."""
+    return runs.united(masks, keys)
 
 
 def lifted(frames: DataFrame, keys: list[str], cfg: Lift = Lift()) -> DataFrame:

@@ -2,15 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..config import Lift, Refinement
 from ..functions import scalars
-from ..functions.kernels import pack_bits
 from ..operators import masks
 from . import views as v
 
@@ -171,32 +167,37 @@ def q58_mask_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changed.select("clip", "segment_id", "before", "after", F.bit_count(F.col("before").bitwiseXOR(F.coalesce("after", F.lit(0).cast("long")))).alias("changed"))
 
 
-@F.pandas_udf(T.BinaryType())
-def _blob(values: pd.Series) -> pd.Series:
-    def one(x) -> bytes:
-        grid = np.asarray(x, float).reshape(8, 8)
-        y, u = np.unravel_index(grid.argmax(), grid.shape)
-        rows, cols = np.ogrid[:8, :8]
-        return pack_bits((abs(rows - y) <= 2) & (abs(cols - u) <= 2))
+def _blob(values: str):
+    """Packed 8 x 8 mask of the cells within two of the greatest value."""
+    top = F.array_position(values, F.array_max(values)).cast("int") - 1
+    y, x = F.floor(top / 8).cast("int"), top % 8
+    cell = lambda row: F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0), lambda byte, k: byte * 2 + ((F.abs(row - y) <= 2) & (F.abs(k - x) <= 2)).cast("int"))
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda row: F.lpad(F.hex(cell(row)), 2, "0")), ""))
 
-    return values.map(one)
 
-
-def _depth_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+def depth_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vectors as 8 x 8 depth maps with a mask of the cells around their greatest value."""
     eight = F.lit(8)
     return v.table(spark, sf_dir, "embeddings").select("vec_id", "label", _blob("embedding").alias("bits"), eight.alias("h"), eight.alias("w"), F.transform("embedding", lambda x: 2.0 + x.cast("double")).alias("depth"), eight.alias("dh"), eight.alias("dw"))
 
 
+def kept_cells(bits: str, depth: str):
+    """The cells of a mask whose vector value is positive or that stand in the row of the greatest one."""
+    top = F.floor((F.array_position(depth, F.array_max(depth)).cast("int") - 1) / 8).cast("int")
+    byte = lambda row: F.aggregate(F.sequence(F.lit(0), F.lit(7)), F.lit(0), lambda out, k: out * 2 + ((F.element_at(depth, row * 8 + k + 1) > 2.0) | (row == top)).cast("int"))
+    own = lambda row: F.conv(F.hex(F.substring(bits, row + 1, F.lit(1))), 16, 10).cast("int")
+    return F.unhex(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), lambda row: F.lpad(F.hex(byte(row).bitwiseAND(own(row))), 2, "0")), ""))
+
+
 @query(None)
 def q80_ring_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = Refinement(dilate_radius=2, min_mask_pixels=6, min_ring_pixels=6)
-    return masks.measured(_depth_frames(spark, sf_dir), ["vec_id"], cfg)
+    return masks.measured(depth_frames(spark, sf_dir), ["vec_id"], cfg)
 
 
 @query(None)
 def q81_lifted_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = _depth_frames(spark, sf_dir).withColumn("faces", F.when(F.col("vec_id") % 2 == 0, F.array(F.array(F.lit(0.0), F.lit(0.0), F.lit(6.0), F.lit(6.0)))))
+    frames = depth_frames(spark, sf_dir).withColumn("faces", F.when(F.col("vec_id") % 2 == 0, F.array(F.array(F.lit(0.0), F.lit(0.0), F.lit(6.0), F.lit(6.0)))))
     for name, x in (("fx", 10.0), ("fy", 10.0), ("cx", 4.0), ("cy", 4.0)):
         frames = frames.withColumn(name, F.lit(x))
     return masks.lifted(frames, ["vec_id"], Lift(min_face_pixels=6, min_depth_pixels=4, min_boundary_pixels=6))
@@ -209,4 +210,4 @@ packed AS (SELECT label, y, CAST(sum(1 << (7 - x)) AS INTEGER) AS bits, count(*)
 SELECT label, 8 AS h, 8 AS w, CAST(sum(coalesce(n, 0)) AS INTEGER) AS n_pix, string_agg(printf('%02X', coalesce(bits, 0)), '' ORDER BY y) AS bits
 FROM (SELECT DISTINCT label FROM m) CROSS JOIN r LEFT JOIN packed USING (label, y) GROUP BY label""")
 def q82_union_masks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return masks.union_masks(_depth_frames(spark, sf_dir), ["label"]).select("label", "h", "w", "n_pix", F.hex("bits").alias("bits"))
+    return masks.union_masks(depth_frames(spark, sf_dir), ["label"]).select("label", "h", "w", "n_pix", F.hex("bits").alias("bits"))

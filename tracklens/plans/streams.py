@@ -14,7 +14,7 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
-def _folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession, name: str = "stream") -> str:
     """A new folder below the one that driver and executors share; a temporary one only where all runs on this machine."""
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
@@ -22,7 +22,7 @@ def _folder(spark: SparkSession) -> str:
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="tracklens-")
-    return f"{shared.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def q73_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,7 +30,7 @@ def q73_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir).withColumn("all", F.lit(0))
     counts = windows.window_counts(events, "1 day", "1 day", "2 days", key="all").withColumn("day", F.date_format("start", "yyyy-MM-dd"))
-    rows = windows.final_rows(counts.select("day", "event_type", "n", "total"), ["day", "event_type"], ["n", "total"], _folder(spark))
+    rows = windows.final_rows(counts.select("day", "event_type", "n", "total"), ["day", "event_type"], ["n", "total"], shared_folder(spark))
     return rows.select("day", "event_type", "n", F.round("total", 4).alias("total"))
 
 

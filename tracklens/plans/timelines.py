@@ -498,11 +498,16 @@ FROM (SELECT *, unnest(range(start_idx, end_idx)) AS place FROM ruled WHERE drop
 LEFT JOIN best ON best.member = tgt AND best.modality = m.modality AND best.frame = place GROUP BY ALL""")
 def q96_window_sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the sidecars of the manifest's windows hold, by window and modality."""
+    rows = sidecars(spark, sf_dir)
+    return rows.groupBy("scene", "src", "tgt", "clip_index", "modality").agg(F.count("*").alias("frames"), F.count_if("valid").alias("valid"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 4).alias("total"))
+
+
+def sidecars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the sidecars of all manifest windows."""
     windows = mf.manifest(_ordered_windows(spark, sf_dir, _ordered_pairs(spark, sf_dir)))
     modalities = [m for m, _ in RULES.modalities]
     stream = v.track(spark, sf_dir).where(F.col("modality").isin(modalities)).groupBy("member", "modality", "frame").agg(F.max("value").alias("value"))
-    rows = mf.sidecar_rows(windows, stream, modalities, ["value"])
-    return rows.groupBy("scene", "src", "tgt", "clip_index", "modality").agg(F.count("*").alias("frames"), F.count_if("valid").alias("valid"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 4).alias("total"))
+    return mf.sidecar_rows(windows, stream, modalities, ["value"])
 
 
 @query("""SELECT o_orderpriority AS step, o_orderstatus AS status, count(*) AS jobs, count(*) FILTER (WHERE o_totalprice < 20000) AS failed, round(sum(o_totalprice), 2) AS amount,

@@ -18,8 +18,8 @@ def write_manifest(rows: DataFrame, path: str, keys: list[str], mode: str = "err
 
 
 def write_tracks(rows: DataFrame, path: str, by: tuple[str, ...] = ("split", "scene", "person_id"), mode: str = "errorifexists") -> None:
-    """A track table partitioned by its path segments; rows of one partition are brought together first."""
-    rows.repartition(*by).write.mode(mode).partitionBy(*by).option("compression", "zstd").parquet(path)
+    """A track table partitioned by its path segments; rows of one partition are brought together, in several tasks where they are many."""
+    rows.hint("rebalance", *by).write.mode(mode).partitionBy(*by).option("compression", "zstd").parquet(path)
 
 
 def write_document(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
