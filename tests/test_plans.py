@@ -10,7 +10,7 @@ from tracklens.plans import catalogue
 
 DATA = "/root/testdata/sf0.001"
 #: Queries that run pixel kernels in Python, and those that read archives by a Python data source.
-KERNELS = {"q80_ring_metrics", "q81_lifted_frames", "q98_mask_archives", "q99_sidecar_files"}
+KERNELS = {"q80_ring_metrics", "q81_lifted_frames", "q98_mask_archives", "q99_sidecar_files", "q103_face_crops", "q105_isolated_failures"}
 
 
 def plan(df) -> str:

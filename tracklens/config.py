@@ -52,3 +52,12 @@ class SplitWindows:
     """Window length and overlap by split."""
 
     lengths: dict[str, tuple[float, float]] = field(default_factory=lambda: {"train": (6.0, 0.5), "val": (6.0, 0.5), "test": (4.0, 0.0)})
+
+
+@dataclass(frozen=True)
+class Faces:
+    min_mask_pixels: int = 100
+    person_padding: float = 0.08
+    face_padding: float = 0.15
+    min_score: float = 0.3
+    sample_every: int = 1

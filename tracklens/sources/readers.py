@@ -183,6 +183,41 @@ def audio_windows(windows: DataFrame, pad: bool = False) -> DataFrame:
     return windows.mapInPandas(run, schema)
 
 
+def pcm_windows(windows: DataFrame, pad: bool = False) -> DataFrame:
+    """``wav`` and ``bytes_read`` of windows (path, start_sec, end_sec) by ranged reads: the header and the window, never the file.
+
+    Paths are those of ``archives``. Past the end: silence if ``pad``, else ``wav`` is
+    null and ``error`` says so.
+    """
+    from .archives import opened
+
+    def cut(path: str, start: float, end: float) -> tuple[bytes | None, int, str | None]:
+        store, at = opened(path)
+        with store.open_input_file(at) as f, wave.open(f) as w:
+            rate, width = w.getframerate(), w.getsampwidth() * w.getnchannels()
+            first, count = round(start * rate), round((end - start) * rate)
+            w.setpos(min(first, w.getnframes()))  # a seek
+            data = w.readframes(max(0, min(count, w.getnframes() - first)))
+            params = w.getparams()
+        missing = count * width - len(data)
+        if missing and not pad:
+            return None, len(data), "the window exceeds its audio"
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setparams(params)
+            w.writeframes(data + bytes(missing))
+        return out.getvalue(), len(data), None
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in windows.schema.fields) + ", wav binary, bytes_read long, error string"
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [cut(p, a, b) for p, a, b in zip(pdf.path, pdf.start_sec, pdf.end_sec, strict=True)]
+            yield pdf.assign(**{name: [x[k] for x in found] for k, name in enumerate(("wav", "bytes_read", "error"))})
+
+    return windows.mapInPandas(run, schema)
+
+
 def preferred_media(listing: DataFrame, suffixes: tuple[str, ...] = (".mp4", ".mov", ".mkv", ".avi")) -> DataFrame:
     """The path of each stem whose suffix comes first in ``suffixes``."""
     rank = F.array_position(F.array(*map(F.lit, suffixes)), names.file_suffix("path"))

@@ -22,6 +22,27 @@ def write_tracks(rows: DataFrame, path: str, by: tuple[str, ...] = ("split", "sc
     rows.hint("rebalance", *by).write.mode(mode).partitionBy(*by).option("compression", "zstd").parquet(path)
 
 
+def upsert_partitions(rows: DataFrame, path: str, by: list[str], settings: str) -> DataFrame:
+    """Writes the partitions of ``rows`` whose stored ``settings`` (a fingerprint of all that made them) differ or are missing.
+
+    Only their files are replaced, in one commit; those of other partitions keep their
+    bytes. Returns the partitions written (``by``): as many rows as the driver lists
+    folders for anyway.
+    """
+    spark = rows.sparkSession
+    wanted = rows.withColumn("settings", F.lit(settings))
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path):
+        kinds = dict(wanted.dtypes)
+        schema = ", ".join(f"`{c}` {kinds[c]}" for c in [*[c for c in wanted.columns if c not in by], *by])
+        have = spark.read.schema(schema).parquet(path).where(F.col("settings") == settings).select(*by).distinct()
+        wanted = wanted.join(have, by, "left_anti")
+    # fixed before the write changes what is there
+    touched = spark.createDataFrame(wanted.select(*by).distinct().toArrow(), wanted.select(*by).schema)
+    wanted.hint("rebalance", *by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*by).parquet(path)
+    return touched
+
+
 def write_document(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """One JSON document per row (summaries; a few rows)."""
     rows.select(F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false", "pretty": "true"}).alias("value")).write.mode(mode).text(path)
