@@ -116,3 +116,38 @@ def test_sidecar_rows(spark):
         ("clip", 0): (0.5, True, False), ("clip", 1): (None, False, False), ("clip", 2): (None, False, True),
         ("pe", 0): (None, False, False), ("pe", 1): (1.5, True, False), ("pe", 2): (None, False, True),
     }
+
+
+def test_modalities_that_limit_the_seconds(spark):
+    """A required modality without a say in the length, and the first windows of each pair."""
+    pairs = spark.createDataFrame([(1, 2), (2, 1)], "src int, tgt int")
+    audio = spark.createDataFrame([(1, 9.0, True), (2, 9.0, True)], "member int, seconds double, allowed boolean")
+    lengths = spark.createDataFrame([(1, "clip", 40), (1, "masked", 3), (2, "clip", 40)], "member int, modality string, frames int")
+    found = mf.stream_reasons(mf.audio_reasons(pairs, audio, 2.0), lengths, ["clip", "masked"], 2.0, 2.0, 5.0, timed=["clip"])
+    assert {(r.src, r.drop_reason, r.windows, r.frames) for r in found.collect()} == {(1, "missing_target_masked", 0, 40), (2, None, 4, 40)}
+    for limit, want in ((None, 4), (2, 2), (9, 4), (0, 0)):
+        assert mf.pair_windows(found, F.lit(10), F.lit(2.0), 5.0, limit).count() == want
+
+
+def test_bounds_between_frames(spark):
+    windows = mf.pair_windows(spark.createDataFrame([(1, 2, None, 4)], "src int, tgt int, drop_reason string, windows int"), F.lit(8), F.lit(0.3), 5.0)
+    for sec, want in ((1.6, [False, True, False, True]), (1.5, [True] * 4)):
+        assert [r.q for r in windows.withColumn("q", mf.quantized(F.lit(sec), F.lit(0.3), 5.0)).orderBy("clip_index").collect()] == want
+
+
+def test_splits_without_roots(spark):
+    roots = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "x")], "split string, root string")
+    splits = spark.createDataFrame([("a",), ("b",), ("c",), ("c",)], "split string")
+    lacking = "missing_depth_clip_pe_text_or_mask_root"
+    assert sorted((r.split, r.drop_reason) for r in mf.split_reasons(roots, ["x", "y"], splits).collect()) == [("a", None), ("b", lacking), ("c", lacking)]
+
+
+def test_every_rule_drops_something(spark):
+    """On the second smallest tables each rule of a split, a pair and a window is the first that fails at least once."""
+    from tracklens.plans import whole_manifest as whole
+
+    fired = {r.drop_reason for r in whole.QUERIES["q107_whole_drop_counts"](spark, "/root/testdata/sf0.01").where("scene IS NULL").collect()}
+    audio = {rule.format(side=side) for rule in mf.AUDIO_RULES for side in ("src", "tgt")}
+    windows = {reason for _, reason in whole.RULES.valid} | {"window_exceeds_modality", "ignored_source_video_chunk", "conflicted_source_video_chunk", "fully_absent_target_visual"}
+    windows |= {"incomplete_target_mask_window", "low_geometry_valid_ratio", "missing_src_video", "missing_tgt_video"}
+    assert fired == audio | windows | {f"missing_target_{m}" for m in whole.REQUIRED} | {"no_complete_window", "missing_depth_clip_pe_text_or_mask_root"}

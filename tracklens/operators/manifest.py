@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.scalars import half_even
 from . import timeline
 
 
@@ -62,20 +63,21 @@ def audio_reasons(pairs_: DataFrame, audio: DataFrame, least_seconds: float) ->
     return out.withColumn("drop_reason", timeline.first_failing(rules)).drop("src_allowed", "tgt_allowed")
 
 
-def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], window_sec: float | Column, stride_sec: float | Column, fps: float, strict: bool = False) -> DataFrame:
+def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], window_sec: float | Column, stride_sec: float | Column, fps: float, strict: bool = False, timed: list[str] | None = None) -> DataFrame:
     """``audio_reasons`` carried on: the modalities that a target lacks, then the windows it has room for.
 
     ``lengths`` has one row per member and modality with its frames. The usable
     seconds are those that both recordings and all modalities have; a pair whose
     usable seconds hold no whole window is dropped. Window and stride may be
     columns of the pair. ``frames`` is the length of the target's shortest modality.
-    With ``strict`` whatever is
-    missing raises an error instead.
+    Given ``timed``, only these of the required modalities limit seconds and frames.
+    With ``strict`` whatever is missing raises an error instead.
     """
+    timed = required if timed is None else timed
     frames = lengths.groupBy(F.col("member").alias("tgt")).agg(*[F.max(F.when(F.col("modality") == m, F.col("frames"))).alias(f"f_{m}") for m in required])
     out = pairs_.join(frames, "tgt", "left")
     rules = [(f"missing_target_{m}", F.col(f"f_{m}").isNull()) for m in required]
-    seconds = F.least("src_seconds", "tgt_seconds", *[F.col(f"f_{m}") / fps for m in required])
+    seconds = F.least("src_seconds", "tgt_seconds", *[F.col(f"f_{m}") / fps for m in timed])
     windows = F.greatest(F.floor((seconds - window_sec + timeline.EPSILON) / stride_sec) + 1, F.lit(0))
     reason = F.coalesce(F.col("drop_reason"), timeline.first_failing([*rules, ("no_complete_window", windows < 1)]))
     out = out.withColumn("drop_reason", reason).withColumn("usable_seconds", F.when(F.col("drop_reason").isNull() | (F.col("drop_reason") == "no_complete_window"), seconds))
@@ -83,7 +85,7 @@ def stream_reasons(pairs_: DataFrame, lengths: DataFrame, required: list[str], w
     if strict:
         missing = F.col("drop_reason").startswith("missing_")
         out = out.withColumn("drop_reason", F.when(missing, F.raise_error(F.concat(F.col("drop_reason"), F.lit(": "), F.col("src").cast("string"), F.lit(" to "), F.col("tgt").cast("string")))).otherwise(F.col("drop_reason")))
-    shortest = F.least(*[F.col(f"f_{m}") for m in required]) if len(required) > 1 else F.col(f"f_{required[0]}")
+    shortest = F.least(*[F.col(f"f_{m}") for m in timed]) if len(timed) > 1 else F.col(f"f_{timed[0]}")
     return out.withColumn("frames", shortest).drop(*[f"f_{m}" for m in required])
 
 
@@ -130,23 +132,33 @@ class Ordered:
     keep_absent: bool = False
 
 
-def split_reasons(roots: DataFrame, required: list[str]) -> DataFrame:
+def split_reasons(roots: DataFrame, required: list[str], splits: DataFrame | None = None) -> DataFrame:
     """Splits of ``roots`` (split, root) with ``drop_reason`` where a required root is missing.
 
-    A split without any root has no row here; the caller's list of splits decides.
+    A split without any root has a row only if ``splits`` (split) names it.
     """
+    if splits is not None:
+        roots = splits.select("split").distinct().join(roots, "split", "left")
     found = roots.groupBy("split").agg(F.collect_set(F.when(F.col("root").isin(required), F.col("root"))).alias("has"))
     return found.select("split", F.when(F.size("has") < len(set(required)), "missing_depth_clip_pe_text_or_mask_root").alias("drop_reason"))
 
 
-def pair_windows(pairs_: DataFrame, window: Column, stride_sec: Column, fps: float) -> DataFrame:
-    """All windows of the pairs that no rule of a pair dropped (see ``stream_reasons``), with frame bounds."""
+def pair_windows(pairs_: DataFrame, window: Column, stride_sec: Column, fps: float, limit: int | None = None) -> DataFrame:
+    """All windows of the pairs that no rule of a pair dropped (see ``stream_reasons``), with frame bounds; the first ``limit`` of each pair if given."""
     rows = pairs_.where("drop_reason IS NULL AND windows > 0").drop("drop_reason")
-    rows = rows.withColumn("clip_index", F.explode(F.sequence(F.lit(1), F.col("windows"))))
+    last = F.col("windows") if limit is None else F.least("windows", F.lit(limit))
+    rows = rows.where(last > 0).withColumn("clip_index", F.explode(F.sequence(F.lit(1), last)))
     start = F.floor((F.col("clip_index") - 1) * stride_sec * fps + 0.5).cast("int")
     return rows.withColumn("start_idx", start).withColumn("end_idx", (start + window).cast("int"))
 
 
+def quantized(window_sec: Column, stride_sec: Column, fps: float) -> Column:
+    """Whether the milliseconds of a window's bounds are not those of its frames."""
+    start = half_even((F.col("clip_index") - 1) * stride_sec * 1000)
+    end = start + half_even(window_sec * 1000)
+    return (start != half_even(F.col("start_idx") / fps * 1000)) | (end != half_even(F.col("end_idx") / fps * 1000))
+
+
 def ordered_reasons(windows: DataFrame, counts: DataFrame, blocked: DataFrame, rules: Ordered, videos: DataFrame | None = None) -> DataFrame:
     """Windows with counts, geometry ratio and the first failing rule.
 

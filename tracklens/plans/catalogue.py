@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("timelines", "identities", "geometry", "selections", "frame_tracks", "streams", "archived", "face_queries")
+_MODULES = ("timelines", "identities", "geometry", "selections", "frame_tracks", "streams", "archived", "face_queries", "whole_manifest")
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
