@@ -269,22 +269,27 @@ def test_similar_windows_with_distant_fingerprints_are_leaks(spark):
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return row[-1]
-
-
-def test_automaton_and_trie():
+    """Edits between two words; swapping two neighbours is one."""
+    rows = [list(range(len(b) + 1))]
+    for i in range(1, len(a) + 1):
+        rows.append([i] + [0] * len(b))
+        for j in range(1, len(b) + 1):
+            d = min(rows[i - 1][j] + 1, rows[i][j - 1] + 1, rows[i - 1][j - 1] + (a[i - 1] != b[j - 1]))
+            if i > 1 and j > 1 and a[i - 1] == b[j - 2] and a[i - 2] == b[j - 1]:
+                d = min(d, rows[i - 2][j - 2] + 1)
+            rows[i][j] = d
+    return rows[-1][-1]
+
+
+@pytest.mark.parametrize("edits,sizes", [(1, (5, 7)), (2, (9, 11)), (2, (5, 12)), (3, (8, 9))])
+def test_automaton_and_trie(edits, sizes):
     r = random.Random(3)
-    terms = sorted({"".join(r.choice("abc") for _ in range(r.randint(5, 7))) for _ in range(60)})
-    trie = toxicity.Trie(terms)
-    for _ in range(2000):
-        word = "".join(r.choice("abc") for _ in range(r.randint(4, 8)))
-        near = [i for i, t in enumerate(terms) if distance(word, t) <= 1]
-        assert trie.within_one_edit(word) == (min(near) if near else None)
+    terms = sorted({"".join(r.choice("abc") for _ in range(r.randint(*sizes))) for _ in range(60)})
+    trie = toxicity.Trie(terms, edits)
+    for _ in range(600):
+        word = "".join(r.choice("abc") for _ in range(r.randint(sizes[0] - 2, sizes[1] + 2)))
+        near = [(d, i) for i, t in enumerate(terms) if (d := distance(word, t)) <= edits]
+        assert trie.nearest(word) == (min(near) if near else None), word
 
 
 def plain_features(lexicon, text):
@@ -302,8 +307,8 @@ def plain_features(lexicon, text):
         if stem_of(w) and stems[stem_of(w)] > 1:
             weight = max(weight, lexicon.stems[stem_of(w)])
         if w not in lexicon.words and w not in lexicon.innocent:
-            fits = sorted(t for t in near if abs(len(t) - len(w)) <= 1 and distance(t, w) <= 1)
-            weight = max(weight, 0.9 * lexicon.words[fits[0]] if fits else 0)
+            fits = sorted((d, t) for t in near if abs(len(t) - len(w)) <= 2 and (d := distance(t, w)) <= (2 if len(t) >= 9 else 1))
+            weight = max(weight, 0.9 ** fits[0][0] * lexicon.words[fits[0][1]] if fits else 0)
         if not weight:
             continue
         depth = 0
@@ -333,7 +338,7 @@ def learned(spark):
 def test_toxicity_matches_plain(spark, learned):
     """The scores of real and planted texts against a plain scorer."""
     texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()][:80]
-    texts += [None, "", 'she said: "such stpid trash"', "« idiot » „scum” lose loser\nclown wrote", "worthles worthlessly disgustin moronn"]
+    texts += [None, "", 'she said: "such stpid trash"', "« idiot » „scum” lose loser\nclown wrote", "worthles worthlessly disgustin moronn", "wrothless dsigusting patehtic stpuid mroon wrothles dsiguting"]
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r for r in toxicity.scored(rows, learned).collect()}
     for i, text in enumerate(texts):
@@ -353,7 +358,9 @@ def test_toxicity_of_planted_words(learned):
     for term in long:
         clean = set()
         for k in range(1, len(term)):
-            for wrong in (term[:k] + term[k + 1 :], term[:k] + "q" + term[k + 1 :], term[:k] + "q" + term[k:]):
+            swapped = term[: k - 1] + term[k] + term[k - 1] + term[k + 1 :]
+            twice = [swapped[:-1] + "q", "q" + swapped] if len(term) >= 9 else []
+            for wrong in (term[:k] + term[k + 1 :], term[:k] + "q" + term[k + 1 :], term[:k] + "q" + term[k:], swapped, *twice):
                 if wrong in learned.innocent:
                     clean.add(wrong)
                 elif wrong not in learned.words:

@@ -4,8 +4,8 @@ The lexicon is learned from labelled texts: every word, and every word beginning
 that a text uses twice, that occurs in far more toxic than clean texts and
 significantly so. A rare word is not worth more than its beginning. The lexicon is
 held in a trie. A word of a text that is no lexicon word is matched by intersecting its
-Levenshtein automaton (one edit) with the trie, so misspelled terms count with
-the term's weight, discounted; words that clean training texts use themselves
+Levenshtein automaton (one edit, two for long terms; swapped neighbours are one
+edit) with the trie, so misspelled terms count with the term's weight, discounted; words that clean training texts use themselves
 are no misspellings. Each hit is weighed by its context window: the depth of
 quotation marks around it and the distance to words of reporting say how far it
 is quoted rather than meant. A logistic regression on the weights gives the
@@ -56,7 +56,9 @@ STEMS = (4, 5, 6)
 FUZZY_LENGTH = 5
 #: Weight of such terms at least: the logarithm of how many times likelier they are in toxic texts.
 FUZZY_WEIGHT = 3.5
-#: Share of a term's weight that a misspelling keeps.
+#: Letters of terms that may hold two edits.
+TWICE_LENGTH = 9
+#: Share of a term's weight that a misspelling keeps for each edit.
 FUZZY_SHARE = 0.9
 #: Words before and after a hit that are its context.
 WINDOW = 6
@@ -75,34 +77,44 @@ COUNTS = ("exact", "stem", "fuzzy")
 
 
 class Trie:
-    """Terms by character; the value at a term's end is its number."""
+    """Terms by character; the value at a term's end is its number. ``edits`` is how many a word may be away.
 
-    def __init__(self, terms: list[str]):
+    An edit drops, adds or replaces a letter or swaps two neighbours.
+    """
+
+    def __init__(self, terms: list[str], edits: int = 1):
         self.root: dict = {}
-        self.heads: dict[int, set[str]] = {}
-        self.tails: dict[int, set[str]] = {}
+        self.edits = edits
+        self.parts: dict[int, list[tuple[int, int, set[str]]]] = {}
         for number, term in enumerate(terms):
             node = self.root
             for c in term:
                 node = node.setdefault(c, {})
             node[""] = number
-            half = len(term) // 2
-            self.heads.setdefault(len(term), set()).add(term[:half])
-            self.tails.setdefault(len(term), set()).add(term[half:])
+            for start, end, held in self.parts.setdefault(len(term), self._cut(len(term))):
+                held.add(term[start:end])
+
+    def _cut(self, n: int) -> list[tuple[int, int, set[str]]]:
+        """One part more than edits, a letter between two parts, so that no edit changes two of them."""
+        ends = [round((n + 1) * k / (self.edits + 1)) for k in range(self.edits + 2)]
+        return [(a, b - 1, set()) for a, b in zip(ends, ends[1:])]
 
     def _possible(self, word: str) -> bool:
-        """One edit leaves the first or the second half of a term, whose length is known but for one, in place."""
-        for n in range(len(word) - 1, len(word) + 2):
-            heads = self.heads.get(n)
-            if heads and (word[: n // 2] in heads or word[len(word) - (n - n // 2) :] in self.tails[n]):
-                return True
+        """Edits leave one part of a term as it is, moved by no more places than there are edits."""
+        k = self.edits
+        for n in range(len(word) - k, len(word) + k + 1):
+            for start, end, held in self.parts.get(n, ()):
+                moves = (0,) if start == 0 else (len(word) - n,) if end == n else range(-k, k + 1)
+                if any(word[start + d : end + d] in held for d in moves):
+                    return True
         return False
 
-    def within_one_edit(self, word: str) -> int | None:
-        """The least number of a term within one edit of ``word``: its automaton walked along the trie.
+    def nearest(self, word: str) -> tuple[int, int] | None:
+        """Edits and number of the term within ``edits`` of ``word`` that has the fewest, the least number on ties.
 
-        The automaton's state is two bit sets: the counts of the word's characters
-        that may be consumed after no edit, and after one.
+        The word's automaton is walked along the trie. Its state is a bit set for each
+        number of edits, of how many of the word's characters may be consumed, and one
+        of those where the term's last character was the second of a swapped pair.
         """
         if not self._possible(word):
             return None
@@ -110,20 +122,22 @@ class Trie:
         for i, c in enumerate(word):
             masks[c] = masks.get(c, 0) | 1 << i
         size, best = len(word), None
-        stack = [(self.root, 1, 2)]  # an edit may drop the word's first character
+        levels = range(1, self.edits + 1)
+        stack = [(self.root, [(2 << e) - 1 for e in range(self.edits + 1)], [0] * self.edits)]
         while stack:
-            node, none, one = stack.pop()
+            node, after, pending = stack.pop()
             for c, child in node.items():
                 if c == "":
-                    if (none | one) >> size & 1 and (best is None or child < best):
-                        best = child
+                    found = next(((e, child) for e, bits in enumerate(after) if bits >> size & 1), None)
+                    best = found if best is None else min(best, found or best)
                     continue
                 mask = masks.get(c, 0)
-                straight = (none & mask) << 1
-                # a character matched after the edit, one that only the term has, a replaced one, one that only the word has
-                edited = (one & mask) << 1 | none | none << 1 | straight << 1
-                if edited:
-                    stack.append((child, straight, edited))
+                now = [(after[0] & mask) << 1]
+                for e in levels:
+                    # matched, only the term has it, replaced, only the word has one more, second half of a swap
+                    now.append((after[e] & mask) << 1 | after[e - 1] | after[e - 1] << 1 | now[e - 1] << 1 | (pending[e - 1] & mask) << 2)
+                if now[-1] & (2 << size) - 1:
+                    stack.append((child, now, [bits & mask >> 1 for bits in after[:-1]]))
         return best
 
 
@@ -131,38 +145,43 @@ class Trie:
 class Lexicon:
     words: dict[str, float]
     stems: dict[str, float]
-    innocent: frozenset[str] = frozenset()  # words of clean texts that are one edit from a term
+    innocent: frozenset[str] = frozenset()  # words of clean texts that are few edits from a term
     weights: np.ndarray = field(default_factory=lambda: np.zeros(len(FEATURES)))
     bias: float = 0.0
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("trie", "memo", "terms")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("tries", "memo", "terms")}
 
     @cached_property
     def terms(self) -> list[str]:
         return sorted(w for w, weight in self.words.items() if len(w) >= FUZZY_LENGTH and weight >= FUZZY_WEIGHT)
 
     @cached_property
-    def trie(self) -> Trie:
-        return Trie(self.terms)
+    def tries(self) -> list[tuple[list[str], Trie]]:
+        """Terms that may be one edit away, and those of ``TWICE_LENGTH`` letters that may be two."""
+        parts = [[t for t in self.terms if len(t) < TWICE_LENGTH], [t for t in self.terms if len(t) >= TWICE_LENGTH]]
+        return [(part, Trie(part, edits)) for edits, part in enumerate(parts, 1) if part]
 
     @cached_property
     def memo(self) -> dict[str, tuple[float, str | None, float] | None]:
         return {}
 
     def near(self, word: str) -> float | None:
-        """Weight of the first term within one edit of a word."""
-        if len(word) < FUZZY_LENGTH - 1 or not self.terms:
+        """Weight of the term with the fewest edits from a word, the first one on ties, less a share for each edit."""
+        if len(word) < FUZZY_LENGTH - 1:
+            return None
+        found = [(hit[0], terms[hit[1]]) for terms, trie in self.tries if (hit := trie.nearest(word))]
+        if not found:
             return None
-        found = self.trie.within_one_edit(word)
-        return None if found is None else self.words[self.terms[found]]
+        edits, term = min(found)
+        return self.words[term] * FUZZY_SHARE**edits
 
     def match(self, word: str) -> tuple[float, str | None, float] | None:
         """Weight as an exact word, the beginning that is a term, weight as a misspelling; None without any."""
         stem = next((word[:n] for n in STEMS if len(word) >= n and word[:n] in self.stems), None)
         exact = self.words.get(word, 0.0)
         weight = None if exact or word in self.innocent else self.near(word)
-        return (exact, stem, FUZZY_SHARE * (weight or 0.0)) if exact or stem or weight else None
+        return (exact, stem, weight or 0.0) if exact or stem or weight else None
 
     def features(self, text: str | None) -> tuple[float, ...]:
         """``FEATURES``, then how many hits of each kind there are (``COUNTS``)."""
@@ -300,7 +319,7 @@ def likelihood_ratio(toxic: Column, clean: Column, n1: int, n0: int) -> Column:
 
 
 def innocents(words: DataFrame, lexicon: Lexicon) -> frozenset[str]:
-    """The words (column term) that are one edit from a term; each distinct word is matched once."""
+    """The words (column term) that count as misspellings of a term; each distinct word is matched once."""
     held = words.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
