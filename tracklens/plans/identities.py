@@ -87,6 +87,11 @@ def _selected(face: DataFrame) -> DataFrame:
     return idn.ranked(idn.aggregates(face), CFG.top_k).where((F.col("n") >= CFG.min_embeddings) & F.col("finite"))
 
 
+def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of all camera pairs of the scenes' chunks."""
+    return idn.pair_evidence(idn.camera_pairs(_selected(_face(spark, sf_dir))), CFG, DIGITS)
+
+
 def _segments(face: DataFrame) -> DataFrame:
     chosen = _selected(face)
     evidence = idn.pair_evidence(idn.camera_pairs(chosen), CFG, DIGITS)
@@ -138,7 +143,7 @@ def q15_pair_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_FOLD} SELECT * FROM fold")
 def q16_pair_assignment_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return idn.assignment_fold(idn.pair_evidence(idn.camera_pairs(_selected(_face(spark, sf_dir))), CFG, DIGITS))
+    return idn.assignment_fold(evidence(spark, sf_dir))
 
 
 @query(f"WITH {_SEGS} SELECT scene, chunk, camera, segment_id, coalesce(person, rest) AS person, rest IS NOT NULL AS was_inferred, conflicts FROM segs")

@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..streaming import windows
+from ..operators import identity as idn
+from ..streaming import assignments, windows
+from . import identities
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -36,3 +38,16 @@ def q73_stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["q73_stream_windows"] = q73_stream_windows
 ORACLES["q73_stream_windows"] = "SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2"
+
+
+def q110_stream_assignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assignments of segments from evidence that arrives a camera pair at a time; the last state is that of q16."""
+    folder = shared_folder(spark, "evidence")
+    seen = idn.transposed(identities.evidence(spark, sf_dir))
+    seen.withColumn("pair", F.concat_ws("_", F.least("camera", "other_camera"), F.greatest("camera", "other_camera"))).repartition("pair").write.partitionBy("pair").parquet(f"{folder}/rows-in")
+    arriving = spark.readStream.schema(seen.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{folder}/rows-in")
+    return windows.final_rows(assignments.folded(arriving), idn.SEGMENT, ["person", "conflicts"], folder)
+
+
+QUERIES["q110_stream_assignments"] = q110_stream_assignments
+ORACLES["q110_stream_assignments"] = identities.ORACLES["q16_pair_assignment_fold"]
