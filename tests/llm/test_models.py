@@ -10,6 +10,7 @@ from pathlib import Path
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,51 @@ def test_near_duplicates_large_buckets(spark, tmp_path, monkeypatch):
     assert {r.doc_id: (r.component_id, r.n_shingles) for r in out} == brute_components(rows)
 
 
+def test_near_duplicates_straggler_texts(spark, monkeypatch):
+    """Only classes with a partner by their registers are dealt with texts; very long ones are verified whole."""
+    monkeypatch.setattr(near_dup, "BLOCK_ROWS", 4)
+    r = random.Random(9)
+    long = sentence(20_000, r).split()
+    changed = [*long[:12_000], *sentence(2_000, r).split(), *long[14_000:]]
+    other = [*long[:9_000], *sentence(9_000, r).split(), *long[18_000:]]
+    short = sentence(60, r).split()
+    texts = {1: " ".join(long), 2: " ".join(changed), 3: " ".join(other), 4: " ".join(short), 5: " ".join([*short[:-1], "zz"]), **{k: sentence(40, r) for k in range(6, 40)}}
+    docs = docs_of(spark, list(texts.items()))
+    classes = near_dup.sketched(docs).select(F.col("doc_id").alias("cid"), F.col("n_shingles").alias("n"), "regs")
+    members = classes.select(F.lit(7).cast("long").alias("bucket"), "cid", F.lit(len(texts)).cast("long").alias("size"))
+    seen = {}
+    plain = near_dup.written
+
+    def noted(df, tag, **more):
+        seen[tag] = plain(df, tag, **more)
+        return seen[tag]
+
+    monkeypatch.setattr(near_dup, "written", noted)
+    labels = spark.createDataFrame([], "cid long, label long")
+    links = {(x.a, x.b) for x in near_dup._again(members, labels, classes, docs, "doc_id", "text").collect()}
+    sets = {k: near_dup.shingles(v) for k, v in texts.items()}
+    assert links == {(a, b) for a in texts for b in texts if a < b and near_dup.similar(sets[a], sets[b])} == {(1, 2), (4, 5)}
+    assert {x.cid for x in seen["near-met"].collect()} <= {1, 2, 3, 4, 5}
+    # a row is dealt with its text to the tasks of its partners, not to all blocks
+    assert seen["near-met"].count() <= 12
+
+
+def test_rows_of_one_key_come_together():
+    """Wherever the batches are cut, each key's rows arrive once and in order."""
+    keys = [0, 0, 1, 1, 1, 2, 3, 3]
+    table = pa.table({"k": pa.array(keys), "v": pa.array(range(len(keys)))})
+    for size in range(1, len(keys) + 1):
+        got = []
+
+        def each(rows, got=got):
+            got.append((rows.column("k").to_pylist(), rows.column("v").to_pylist()))
+            yield from rows.to_batches()
+
+        empty = table.slice(0, 0).to_batches() or [pa.RecordBatch.from_pydict({"k": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})]
+        list(near_dup._by_key(each, ["k"])([*empty, *table.to_batches(max_chunksize=size)]))
+        assert got == [([0, 0], [0, 1]), ([1, 1, 1], [2, 3, 4]), ([2], [5]), ([3, 3], [6, 7])]
+
+
 def test_near_duplicates_odd_rows(spark, tmp_path):
     text = sentence(20, rng)
     rows = [(4, text), (4, text), (2, text), (None, text), (None, None), (9, sentence(20, rng))]

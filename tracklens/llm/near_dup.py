@@ -17,9 +17,10 @@ about the probability of their Jaccard similarity.
 4. Components of the links are found by label propagation with pointer jumping.
 5. Buckets whose classes are still in several components are looked at again, so
    that a link between two members that the least class does not resemble is not
-   lost: pairs that lie in different components are compared by their registers
-   inside tasks, those that can reach the threshold are verified there, and only
-   links come out. A bucket is cut into blocks of bounded rows and shingles, one
+   lost: classes that lie in different components are compared by their registers
+   inside tasks. Only a class with a partner that can reach the threshold is dealt
+   once more with its text, to the tasks of such partners; there the pairs are
+   verified, and only links come out. A bucket is cut into blocks of bounded rows and shingles, one
    task for each two blocks; blocks of the bucket's main component meet only the
    blocks of the rest, so a large group with few others costs a linear number.
 
@@ -265,6 +266,49 @@ def _blocks(rows: DataFrame, main: Column) -> list[Column]:
     return [F.greatest(F.ceil(F.count_if(own) / BLOCK_ROWS), F.ceil(F.sum(F.when(own, F.col("n")).otherwise(0)) / BLOCK_SHINGLES), F.lit(1)).cast("int") for own in (main, ~main)]
 
 
+def _compared(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Sides, labels, set sizes and registers of a task's rows."""
+    side, label, n = (rows.column(c).to_numpy().copy() for c in ("side", "label", "n"))
+    return side, label, n, np.frombuffer(b"".join(rows.column("regs").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+
+
+def _partners(i: int, side: np.ndarray, label: np.ndarray, n: np.ndarray, regs: np.ndarray) -> np.ndarray:
+    """Rows after ``i`` of other components that sizes and registers let reach the threshold."""
+    part, whole = THRESHOLD
+    j = slice(i + 1, len(n))
+    meet = (label[j] != label[i]) & ((side[j] != side[i]) | (side[j] < 0))
+    maybe = np.flatnonzero(meet & (np.minimum(n[j], n[i]) * whole >= np.maximum(n[j], n[i]) * part)) + i + 1
+    maybe = maybe[(regs[maybe] == regs[i]).sum(axis=1) >= LEAST_EQUAL]
+    if not len(maybe):
+        return maybe
+    x, y = regs[i], regs[maybe]
+    return maybe[reachable((x > y).sum(axis=1), (x < y).sum(axis=1), np.full(len(maybe), float(n[i])), n[maybe].astype(float))]
+
+
+def _by_key(each, key: list[str]):
+    """A function of sorted Arrow batches that gives ``each`` all rows of one key at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in key]
+            new = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in keys])) + 1
+            for start, end in zip([0, *new.tolist()], [*new.tolist(), batch.num_rows], strict=True):
+                if start == end:
+                    continue
+                at = tuple(v[start] for v in keys)
+                if held and at != last:
+                    yield from each(pa.Table.from_batches(held))
+                    held.clear()
+                last = at
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield from each(pa.Table.from_batches(held))
+
+    return run
+
+
 def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Verified links (a, b) of classes in one bucket but different components.
 
@@ -293,48 +337,38 @@ def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: Data
     of_main = F.transform(F.sequence(F.lit(0), F.col("others") - 1), lambda k: pair(0, block, k, F.lit(0)))
     small = (F.col("mains") == 1) & (F.col("others") == 1)
     tasks = F.when(small, F.array(pair(2, F.lit(0), F.lit(0), none))).when(F.col("is_main"), of_main).otherwise(F.concat(with_main, among))
-    wanted = bounded_broadcast(written(rest.select("cid").distinct(), "near-wanted"))
-    texts = docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text")).join(wanted, "cid", "left_semi")
     key = ["bucket", "kind", "x", "y"]
-    rows = placed.withColumn("t", F.explode(tasks)).select("bucket", "t.kind", "t.x", "t.y", "t.side", "cid", "label", "n", "regs").join(texts, "cid")
-
-    def links_of(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        part, whole = THRESHOLD
-        sides, ids, labels, n = (np.array([r[k] for r in rows]) for k in (4, 5, 6, 7))
-        regs = np.frombuffer(b"".join(r[8] for r in rows), np.uint16).reshape(-1, REGISTERS)
-        sets = lru_cache(maxsize=len(rows))(lambda k: shingles(rows[k][9]))
-        for i in range(len(rows) - 1):
-            j = slice(i + 1, len(rows))
-            meet = (labels[j] != labels[i]) & ((sides[j] != sides[i]) | (sides[j] < 0))
-            maybe = np.flatnonzero(meet & (np.minimum(n[j], n[i]) * whole >= np.maximum(n[j], n[i]) * part)) + i + 1
-            maybe = maybe[(regs[maybe] == regs[i]).sum(axis=1) >= LEAST_EQUAL]
-            if len(maybe):
-                x, y = regs[i], regs[maybe]
-                maybe = maybe[reachable((x > y).sum(axis=1), (x < y).sum(axis=1), np.full(len(maybe), float(n[i])), n[maybe].astype(float))]
-            for k in maybe.tolist():
+    schema = "bucket long, kind int, x int, y int, side int, cid long, label long, n long, regs binary"
+    dealt = placed.withColumn("t", F.explode(tasks)).select("bucket", "t.kind", "t.x", "t.y", "t.side", "cid", "label", F.col("n").cast("long").alias("n"), "regs")
+
+    def met(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, label, n, regs = _compared(rows)
+        keep = np.zeros(rows.num_rows, bool)
+        for i in range(rows.num_rows - 1):
+            found = _partners(i, side, label, n, regs)
+            keep[i] |= len(found) > 0
+            keep[found] = True
+        yield from rows.filter(pa.array(keep)).to_batches()
+
+    def linked(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        side, label, n, regs = _compared(rows)
+        ids, texts = rows.column("cid").to_numpy(), rows.column("text")
+        sets = lru_cache(maxsize=rows.num_rows)(lambda k: shingles(texts[k].as_py()))
+        found = set()
+        for i in range(rows.num_rows - 1):
+            for k in _partners(i, side, label, n, regs).tolist():
                 # a link within a component that has just grown adds nothing
-                if labels[k] != labels[i] and similar(sets(i), sets(k)):
-                    labels[labels == labels[k]] = labels[i]
-                    yield int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if found := sorted(set(links_of(held))):
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*found, strict=True)], names=["a", "b"])
-
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                for row in zip(*(c.to_pylist() for c in batch.slice(at, 500).columns), strict=True):
-                    if held and held[0][:4] != row[:4]:
-                        yield from flush()
-                        held.clear()
-                    held.append(row)
-        yield from flush()
-
-    dealt = rows.select(*key, "side", "cid", "label", "n", "regs", "text").repartition(*key).sortWithinPartitions(*key, "cid")
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+                if label[k] != label[i] and similar(sets(i), sets(k)):
+                    label[label == label[k]] = label[i]
+                    found.add((int(min(ids[i], ids[k])), int(max(ids[i], ids[k]))))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in zip(*sorted(found), strict=True)], names=["a", "b"])
+
+    sort = lambda rows: rows.repartition(*key).sortWithinPartitions(*key, "cid")
+    few = written(sort(dealt).mapInArrow(_by_key(met, key), schema), "near-met", codec="none")
+    wanted = bounded_broadcast(written(few.select("cid").distinct(), "near-wanted"))
+    texts = docs.select(F.col(id_col).cast("long").alias("cid"), F.col(text_col).alias("text")).join(wanted, "cid", "left_semi")
+    return sort(few.join(texts, "cid").select(*few.columns, "text")).mapInArrow(_by_key(linked, key), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
