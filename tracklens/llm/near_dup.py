@@ -290,7 +290,15 @@ def _by_key(each, key: list[str]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
+        out: list[pa.RecordBatch] = []
         last = None
+
+        def joined() -> list[pa.RecordBatch]:
+            """The small results of many keys as few batches."""
+            whole = pa.Table.from_batches(out).combine_chunks().to_batches() if out else []
+            out.clear()
+            return whole
+
         for batch in batches:
             keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in key]
             new = np.flatnonzero(np.logical_or.reduce([v[1:] != v[:-1] for v in keys])) + 1
@@ -299,12 +307,15 @@ def _by_key(each, key: list[str]):
                     continue
                 at = tuple(v[start] for v in keys)
                 if held and at != last:
-                    yield from each(pa.Table.from_batches(held))
+                    out.extend(each(pa.Table.from_batches(held)))
                     held.clear()
+                    if len(out) % 16 == 15 and sum(b.num_rows for b in out) >= 4000 or len(out) >= 1000:
+                        yield from joined()
                 last = at
                 held.append(batch.slice(start, end - start))
         if held:
-            yield from each(pa.Table.from_batches(held))
+            out.extend(each(pa.Table.from_batches(held)))
+        yield from joined()
 
     return run
 
@@ -348,7 +359,8 @@ def _again(members: DataFrame, labels: DataFrame, classes: DataFrame, docs: Data
             found = _partners(i, side, label, n, regs)
             keep[i] |= len(found) > 0
             keep[found] = True
-        yield from rows.filter(pa.array(keep)).to_batches()
+        if keep.any():
+            yield from rows.filter(pa.array(keep)).to_batches()
 
     def linked(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         side, label, n, regs = _compared(rows)
