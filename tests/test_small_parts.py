@@ -1,9 +1,9 @@
-"""Exact roots, numbers for JSON and report tables that are cut."""
+"""Exact roots, numbers for JSON, report tables that are cut and pooled tokens."""
 
 from __future__ import annotations
 
 from tracklens.functions import scalars
-from tracklens.operators import reports
+from tracklens.operators import masks, reports
 
 
 def test_exact_root(spark):
@@ -22,3 +22,11 @@ def test_cut_tables_say_so(spark):
     assert "only the first 3 rows are shown" in reports.html_table(rows, "t", limit=3)
     whole = reports.html_table(rows, "t", limit=5)
     assert "only the first" not in whole and whole.count("<td>") == 5
+
+
+def test_pooled_tokens_odd_rows(spark):
+    rows = [(1, 2.0, [1.0, 2.0]), (1, 0.0, [9.0, 9.0]), (1, None, [5.0, 5.0]), (1, 1.0, [4.0, None]), (2, 0.0, [3.0, 3.0]), (3, 1.0, None), (4, 1.0, []), (None, 1.0, [7.0, 8.0])]
+    df = spark.createDataFrame(rows, "k int, weight double, token array<double>")
+    got = {(r.k, r.dim): r.value for r in masks.pooled_tokens(df, ["k"]).collect()}
+    assert got == {(1, 0): 2.0, (1, 1): 4 / 3, (2, 0): 0.0, (2, 1): 0.0, (None, 0): 7.0, (None, 1): 8.0}
+    assert masks.pooled_tokens(df.limit(0), ["k"]).count() == 0

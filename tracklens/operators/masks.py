@@ -11,6 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -128,11 +130,18 @@ def frame_status(order: str, has_mask: Column, readable: Column, grid_sum: Colum
 
 
 def pooled_tokens(tokens: DataFrame, keys: list[str], add_epsilon: bool = False, epsilon: float = 1e-6) -> DataFrame:
-    """Weighted mean of token vectors: rows (keys, weight, token); long form (keys, dim, value)."""
-    values = tokens.select(*keys, "weight", F.posexplode("token").alias("dim", "x"))
+    """Weighted mean of token vectors: rows (keys, weight, token); long form (keys, dim, value).
+
+    Tokens of a key have one length, else the sum raises; null and empty ones take no
+    part, a null component or weight counts as 0.
+    """
+    rows = tokens.where("token IS NOT NULL AND size(token) > 0")
+    # vectors are summed whole: a group is one row, not one per component, before and after the shuffle
+    weighted = array_to_vector(F.transform("token", lambda x: F.coalesce(F.col("weight") * x.cast("double"), F.lit(0.0))))
     total = F.sum("weight")
     total = total + epsilon if add_epsilon else F.greatest(total, F.lit(epsilon))
-    return values.groupBy(*keys, "dim").agg((F.sum(F.col("weight") * F.col("x").cast("double")) / total).alias("value"))
+    sums = rows.groupBy(*keys).agg(Summarizer.sum(weighted).alias("s"), total.alias("total"))
+    return sums.select(*keys, F.posexplode(vector_to_array("s")).alias("dim", "x"), "total").select(*keys, "dim", (F.col("x") / F.col("total")).alias("value"))
 
 
 def region_means(pixels: DataFrame, keys: list[str]) -> DataFrame:
