@@ -151,3 +151,13 @@ def test_every_rule_drops_something(spark):
     windows = {reason for _, reason in whole.RULES.valid} | {"window_exceeds_modality", "ignored_source_video_chunk", "conflicted_source_video_chunk", "fully_absent_target_visual"}
     windows |= {"incomplete_target_mask_window", "low_geometry_valid_ratio", "missing_src_video", "missing_tgt_video"}
     assert fired == audio | windows | {f"missing_target_{m}" for m in whole.REQUIRED} | {"no_complete_window", "missing_depth_clip_pe_text_or_mask_root"}
+
+
+def test_first_scenes_and_windows(spark):
+    """Limits keep the first scenes of each split by key, with all their members, and the first windows of each pair."""
+    members = spark.createDataFrame([(1, 9, "a"), (2, 9, "a"), (3, 4, "a"), (4, 7, "a"), (5, 8, "b")], "member long, scene long, split string")
+    kept = lambda most: {r.member for r in mf.first_scenes(members, most).collect()}
+    assert (kept(0), kept(1), kept(2), kept(9)) == (set(), {3, 5}, {3, 4, 5}, {1, 2, 3, 4, 5})
+    pairs = spark.createDataFrame([(1, 2, 5, None), (1, 3, 1, None), (2, 3, 0, None), (2, 1, 4, "x")], "src long, tgt long, windows long, drop_reason string")
+    found = lambda limit: sorted((r.src, r.tgt, r.clip_index) for r in mf.pair_windows(pairs, F.lit(10), F.lit(1.0), 5.0, limit).collect())
+    assert found(2) == [(1, 2, 1), (1, 2, 2), (1, 3, 1)] and found(0) == [] and len(found(None)) == 6

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import half_even
@@ -143,6 +143,16 @@ def split_reasons(roots: DataFrame, required: list[str], splits: DataFrame | Non
     return found.select("split", F.when(F.size("has") < len(set(required)), "missing_depth_clip_pe_text_or_mask_root").alias("drop_reason"))
 
 
+def first_scenes(members: DataFrame, most: int, by: str = "split") -> DataFrame:
+    """Members of the first ``most`` scenes of each split, in order of their keys.
+
+    Only the distinct scenes are ranked, and each task keeps its first ones before the shuffle.
+    """
+    at = F.row_number().over(Window.partitionBy(by).orderBy("scene"))
+    first = members.select(by, "scene").distinct().withColumn("__at", at).where(F.col("__at") <= most)
+    return members.join(first.drop("__at"), [by, "scene"], "left_semi")
+
+
 def pair_windows(pairs_: DataFrame, window: Column, stride_sec: Column, fps: float, limit: int | None = None) -> DataFrame:
     """All windows of the pairs that no rule of a pair dropped (see ``stream_reasons``), with frame bounds; the first ``limit`` of each pair if given."""
     rows = pairs_.where("drop_reason IS NULL AND windows > 0").drop("drop_reason")

@@ -107,21 +107,22 @@ def _splits(members: DataFrame, lengths: DataFrame) -> DataFrame:
     return mf.split_reasons(roots, REQUIRED, members)
 
 
-def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pairs of the splits that have all roots, with the first rule of a pair that fails."""
+def _pairs(spark: SparkSession, sf_dir: str, scenes: int | None = None) -> DataFrame:
+    """Pairs of the splits that have all roots (of their first ``scenes``, if given), with the first rule of a pair that fails."""
     members, lengths = _members(spark, sf_dir), _lengths(v.track(spark, sf_dir))
     orders = v.table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").groupBy(F.col("o_custkey").alias("member"))
     audio = orders.agg(F.round(F.sum("o_totalprice") / 30000, 1).alias("seconds"), (F.max("o_totalprice") >= 40000).alias("allowed"))
     kept = members.join(_splits(members, lengths).where("drop_reason IS NULL").select("split"), "split", "left_semi")
+    kept = kept if scenes is None else mf.first_scenes(kept, scenes)
     found = mf.audio_reasons(mf.pairs(kept, ["scene", "split"]), audio, 2.0).withColumn("is_test", F.col("split") == "test")
     _, sec, stride = _shape(F.col("is_test"))
     return mf.stream_reasons(found, lengths, REQUIRED, sec, stride, FPS, timed=TIMED)
 
 
-def _windows(spark: SparkSession, sf_dir: str, pairs: DataFrame) -> DataFrame:
-    """Windows of the pairs that are left, with counts and the first rule of a window that fails."""
+def _windows(spark: SparkSession, sf_dir: str, pairs: DataFrame, limit: int | None = None) -> DataFrame:
+    """Windows of the pairs that are left (the first ``limit`` of each, if given), with counts and the first rule of a window that fails."""
     size, sec, stride = _shape(F.col("is_test"))
-    windows = mf.pair_windows(pairs, size, stride, FPS).withColumn("quantized", mf.quantized(sec, stride, FPS))
+    windows = mf.pair_windows(pairs, size, stride, FPS, limit).withColumn("quantized", mf.quantized(sec, stride, FPS))
     track = v.track(spark, sf_dir).withColumn("is_test", F.col("scene") % 10 < 2)
     kind, pixels = F.col("modality"), F.col("pixels")
     flags = {"n_clip": kind == "click", "n_masked": (kind == "click") & (pixels >= 50), "n_pe": kind == "view", "n_t5_text": kind == "signup", "n_geometry": kind == "purchase"}
@@ -177,3 +178,15 @@ def q109_whole_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     splits = _splits(_members(spark, sf_dir), _lengths(v.track(spark, sf_dir))).select("split", F.col("drop_reason").isNotNull().alias("skipped"))
     out = splits.join(pairs.groupBy("split").agg(F.count("*").alias("pairs")), "split", "left").join(windows, "split", "left")
     return out.fillna(0, ["pairs", "windows", "quantized", "emitted"])
+
+
+#: Scenes of a split and windows of a pair that the limited manifest keeps.
+FIRST_SCENES, FIRST_WINDOWS = 40, 2
+
+
+@query(f"""WITH {_RULED}, sc AS (SELECT split, scene FROM (SELECT DISTINCT split, scene FROM mem) QUALIFY row_number() OVER (PARTITION BY split ORDER BY scene) <= {FIRST_SCENES})
+SELECT split, scene, src, tgt, clip_index, start_idx, end_idx, drop_reason FROM ruled WHERE clip_index <= {FIRST_WINDOWS} AND (split, scene) IN (SELECT (split, scene) FROM sc)""")
+def q111_limited_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first windows of each pair in the first scenes of each split, with the rule that drops them: both limits as the feature."""
+    windows = _windows(spark, sf_dir, _pairs(spark, sf_dir, FIRST_SCENES), FIRST_WINDOWS)
+    return windows.select("split", "scene", "src", "tgt", "clip_index", "start_idx", "end_idx", "drop_reason")
