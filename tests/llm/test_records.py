@@ -11,6 +11,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,61 @@ def test_bpe_offsets_and_split_characters(spark):
     assert bpe.encode(df.limit(0), path, pattern).count() == 0
 
 
+class Counted:
+    """Passes calls on and counts the results that come back, one object a sequence."""
+
+    def __init__(self, inner):
+        self.inner, self.results = inner, 0
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            out = getattr(self.inner, name)(*args, **kwargs)
+            self.results += len(out)
+            return out
+
+        return call
+
+
+def test_bpe_works_by_slice(plain_bpe, monkeypatch):
+    """New pieces go through the library as one sequence a slice; results hold for any cut and any memo."""
+    path, pattern = q04_bpe.public_vocabulary()
+    rng = random.Random(8)
+    words = ["".join(rng.choice("abcdeé你 ") for _ in range(rng.randrange(1, 9))) for _ in range(3000)]
+    texts = [None, "", *("".join(rng.choice(words) for _ in range(rng.randrange(40))) for _ in range(400)), "", "=" * 999, None]
+    names = ["doc_id", "ids", "starts", "ends"]
+    table = pa.table({"doc_id": range(len(texts)), "__text": pa.array(texts, pa.string())})
+    for size, pieces, cut in ((500_000, 400_000, 10_000), (300, 50, 7)):
+        monkeypatch.setattr(bpe, "SLICE_SIZE", size, raising=False)
+        monkeypatch.setattr(bpe, "MEMO_PIECES", pieces)
+        own = bpe.Codec(path, pattern)
+        own.tokenizer = Counted(own.tokenizer)
+        monkeypatch.setitem(bpe._CACHE, (path, pattern), own)
+        encoded = list(bpe._encoder(path, pattern, 1, names, True)(iter(table.to_batches(cut))))
+        assert own.tokenizer.results <= len(encoded)
+        got = pa.Table.from_batches(encoded).to_pylist()
+        assert [r["ids"] for r in got] == [plain_bpe.encode_ordinary(t or "") for t in texts]
+        assert [list(zip(r["starts"], r["ends"], strict=True)) for r in got] == [plain_offsets(plain_bpe, t or "") for t in texts]
+        back = pa.Table.from_batches(list(bpe._decoder(path, pattern, 1, 1, ["doc_id", "decoded", "text"])(iter(encoded))))
+        assert back["text"].to_pylist() == [t or "" for t in texts] and back["decoded"].to_pylist() == [(t or "").encode() for t in texts]
+
+
+def test_bpe_lost_bytes_and_unknown_ids(tmp_path):
+    ranks = tmp_path / "ranks"
+    ranks.write_text("\n".join(f"{base64.b64encode(t).decode()} {r}" for t, r in ((b"a", 0), (b"b", 1), (b"ab", 3))))
+    names = ["doc_id", "ids"]
+
+    def encoded(text):
+        return list(bpe._encoder(str(ranks), "[a-z]+", 1, names, False)(iter(pa.table({"doc_id": [1], "t": [text]}).to_batches())))
+
+    assert encoded("aabb")[0].column(1).to_pylist() == [[0, 3, 1]]
+    with pytest.raises(ValueError, match="every byte"):  # before, the c was left out without a word
+        encoded("abc")
+    for bad in (2, 4, -1):
+        ids = pa.table({"doc_id": [1], "ids": pa.array([[0, bad]], pa.list_(pa.int32()))}).to_batches()
+        with pytest.raises((KeyError, IndexError)):
+            list(bpe._decoder(str(ranks), "[a-z]+", 1, 1, ["doc_id", "decoded", "text"])(iter(ids)))
+
+
 def test_media(spark, tmp_path):
     rows = [*ODD, (8, "x" * 64), (9, "\x00" * 3), (10, "ÿû\x90À" * 700)]
     got = collections.defaultdict(list)

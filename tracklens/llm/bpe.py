@@ -5,7 +5,9 @@ token into two smaller tokens is a merge of that token's rank, which is how
 rank-driven encoders pick pairs; a pre-token that is itself a token is taken
 whole. The ``tokenizers`` library encodes each *distinct* pre-token of a batch
 once, bytes written as characters of the byte table; a bounded memo keeps the
-results across batches of a task. Pre-tokens are cut with the given pattern.
+results across batches of a task. Pre-tokens are cut with the given pattern and
+numbered; ids of texts, their offsets and their bytes are then gathered for all
+texts of a slice at once, by number and by rank.
 
 Defined results
     null text          encoded as the empty text (no ids)
@@ -20,7 +22,7 @@ Defined results
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,8 @@ from pyspark.sql import types as T
 
 #: Distinct pre-tokens that a task remembers before it starts afresh.
 MEMO_PIECES = 400_000
-#: Bytes of text that are encoded at a time within an Arrow batch.
-SLICE_CHARS = 500_000
+#: Bytes of text that are encoded, or ids that are decoded, at a time within an Arrow batch.
+SLICE_SIZE = 500_000
 
 _CACHE: dict = {}
 
@@ -49,6 +51,26 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
+class _Numbered(dict):
+    """Numbers keys in the order in which they are first asked for; ``new`` lists them until taken."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
+
+
+def _ends(sizes: np.ndarray) -> np.ndarray:
+    """0 and the running sums of ``sizes``: where each of that many parts begins, and the end."""
+    out = np.zeros(len(sizes) + 1, np.int64)
+    np.cumsum(sizes, out=out[1:])
+    return out
+
+
 class Codec:
     """Encoder and decoder of one rank file; built once per Python worker."""
 
@@ -60,44 +82,82 @@ class Codec:
         chars = byte_table()
         spelled = {token: "".join(chars[b] for b in token) for token in ranks}
         merges = [(spelled[token[:i]], spelled[token[i:]]) for token in sorted(ranks, key=ranks.get) for i in range(1, len(token)) if token[:i] in ranks and token[i:] in ranks]
-        model = models.BPE(vocab={spelled[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True)
+        # the memo repeats no piece, so the library's own cache would only cost time
+        model = models.BPE(vocab={spelled[t]: r for t, r in ranks.items()}, merges=merges, ignore_merges=True, cache_capacity=0)
         self.tokenizer = Tokenizer(model)
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.split = regex.compile(pattern).findall
         # decoding reverses the byte table: character -> byte
         back = {c: b for b, c in enumerate(chars)}
-        self.token_bytes = {rank: bytes(back[c] for c in spelled[token]) for token, rank in ranks.items()}
-        self.memo: dict[str, tuple[bytes, bytes, int]] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        """Ids, offsets (both as bytes of int32 arrays) and number of tokens of each piece."""
-        memo = self.memo
-        new = [p for p in pieces if p not in memo]
-        if len(memo) + len(new) > MEMO_PIECES:
-            memo.clear()
-            new = list(pieces)
-        for piece, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            memo[piece] = np.asarray(found.ids, np.int32).tobytes(), np.asarray(found.offsets, np.int32).tobytes(), len(found.ids)
-
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The ids of each text, and start and end of each token in code points.
+        by_rank = {rank: bytes(back[c] for c in spelled[token]) for token, rank in ranks.items()}
+        #: bytes of each rank; ranks that the file leaves out are null
+        self.tokens = pa.array([by_rank.get(r) for r in range(max(by_rank) + 1)], pa.binary())
+        self.sizes = np.array([len(by_rank.get(r, b"")) for r in range(max(by_rank) + 1)], np.int64)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start the memo afresh: numbers of pieces, and by number the place and count of its ids in ``known``."""
+        self.numbers = _Numbered()
+        self.known = np.zeros(0, np.int32)
+        self.first = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def learn(self) -> None:
+        """Encode the pieces that were numbered last, as one sequence of pre-tokens."""
+        new, self.numbers.new = self.numbers.new, []
+        if not new:
+            return
+        found = self.tokenizer.encode_batch_fast([new], is_pretokenized=True, add_special_tokens=False)[0]
+        ids = np.array(found.ids, np.int32)
+        # tokens are never empty: those of a piece are the ones that end within its bytes
+        tokens, pieces = _ends(self.sizes[ids]), _ends(np.array([len(p.encode()) for p in new], np.int64))
+        ends = np.searchsorted(tokens, pieces, side="right") - 1
+        if not np.array_equal(tokens[ends], pieces):
+            raise ValueError("the rank file does not spell every byte")
+        self.first = np.concatenate([self.first, len(self.known) + ends[:-1]])
+        self.count = np.concatenate([self.count, np.diff(ends)])
+        self.known = np.concatenate([self.known, ids])
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where those of each text begin and end."""
+        pieces, cuts = [], []
+        for text in texts:
+            pieces += self.split(text)
+            cuts.append(len(pieces))
+        if len(self.numbers) > MEMO_PIECES:
+            self.forget()
+        numbers = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        self.learn()
+        count = self.count[numbers]
+        ends = _ends(count)
+        ids = self.known[np.arange(ends[-1]) + np.repeat(self.first[numbers] - ends[:-1], count)]
+        return ids, ends[np.array([0, *cuts])]
+
+    def spell(self, ids: np.ndarray) -> tuple[np.ndarray, pa.Buffer | None]:
+        """Where the bytes of each id begin and end, and the bytes of all in a row."""
+        found = self.tokens.take(pa.array(ids, pa.int32()))
+        if found.null_count:
+            raise KeyError("an id that the rank file does not have")
+        _, ends, data = found.buffers()
+        return np.frombuffer(ends, np.int32, len(ids) + 1) if len(ids) else np.zeros(1, np.int32), data
+
+    def offsets(self, ids: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and end of each token in code points of its text.
 
         A token that holds part of a character spans that whole character.
         """
-        cut = [self.split(t) for t in texts]
-        self.learn({p for pieces in cut for p in pieces})
-        ids, spans = [], []
-        for pieces in cut:
-            found = [self.memo[p] for p in pieces]
-            ids.append(np.frombuffer(b"".join([x[0] for x in found]), np.int32))
-            own = np.frombuffer(b"".join([x[1] for x in found]), np.int32).reshape(-1, 2)
-            lengths = np.fromiter(map(len, pieces), np.int32, len(pieces))
-            first = np.cumsum(lengths, dtype=np.int32) - lengths
-            spans.append(own + np.repeat(first, [x[2] for x in found])[:, None] if pieces else own)
-        return ids, spans
-
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
+        at, data = self.spell(ids)
+        starts, stops = at[:-1], at[1:]
+        if len(ids) and (octets := np.frombuffer(data, np.uint8, at[-1])).max() > 0x7F:
+            char = np.cumsum((octets & 0xC0) != 0x80, dtype=np.int32)
+            starts, stops = char[starts] - 1, char[stops - 1]
+        first = np.repeat(starts[np.minimum(ends[:-1], len(ids) - 1)], np.diff(ends)) if len(ids) else starts
+        return starts - first, stops - first
+
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> pa.Array:
+        """The bytes of each text, given all ids in a row and where those of each text end."""
+        at, data = self.spell(ids)
+        return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(np.ascontiguousarray(at[ends])), data or pa.py_buffer(b"")])
 
 
 def codec(path: str, pattern: str) -> Codec:
@@ -109,20 +169,25 @@ def codec(path: str, pattern: str) -> Codec:
     return _CACHE[path, pattern]
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    ends = np.cumsum([0, *map(len, parts)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int32), pa.int32()))
+def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values, pa.int32()))
 
 
-def _parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list]]:
-    """Runs of rows whose texts together have about ``SLICE_CHARS`` bytes, with the texts."""
+def _parts(batches: Iterator[pa.RecordBatch], column: int, size: Callable[[pa.Array], pa.Array]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows whose values in a column together have about ``SLICE_SIZE`` bytes or ids."""
     for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        marks = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SLICE_CHARS, prepend=0))
+        sizes = pc.fill_null(size(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        marks = np.flatnonzero(np.diff(np.cumsum(sizes, dtype=np.int64) // SLICE_SIZE, prepend=0))
         for a, b in zip([0, *marks], [*marks, batch.num_rows], strict=True):
             if b > a:
-                part = batch.slice(a, b - a)
-                yield part, [t or "" for t in part.column(column).to_pylist()]
+                yield batch.slice(a, b - a)
+
+
+def _readable(decoded: pa.Array) -> pa.Array:
+    try:
+        return decoded.cast(pa.string())
+    except pa.ArrowInvalid:  # some list of ids ends inside a character
+        return pa.array([x.decode("utf-8", "replace") for x in decoded.to_pylist()], pa.string())
 
 
 INTS = T.ArrayType(T.IntegerType(), False)
@@ -134,11 +199,11 @@ DECODED = (T.StructField("decoded", T.BinaryType()), T.StructField("decoded_text
 def _encoder(path: str, pattern: str, kept: int, names: list[str], offsets: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for part, texts in _parts(batches, kept):
-            ids, spans = own.encode(texts)
-            columns = [*part.columns[:kept], _lists(ids)]
+        for part in _parts(batches, kept, pc.binary_length):
+            ids, ends = own.encode([t or "" for t in part.column(kept).to_pylist()])
+            columns = [*part.columns[:kept], _lists(ids, ends)]
             if offsets:
-                columns += [_lists([s[:, 0] for s in spans]), _lists([s[:, 1] for s in spans])]
+                columns += [_lists(x, ends) for x in own.offsets(ids, ends)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -147,11 +212,11 @@ def _encoder(path: str, pattern: str, kept: int, names: list[str], offsets: bool
 def _decoder(path: str, pattern: str, ids: int, kept: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
-        for batch in batches:
-            lists = batch.column(ids)
-            out = [own.decode(x.values.to_numpy(zero_copy_only=False)) if x.is_valid else b"" for x in lists]
-            texts = [x.decode("utf-8", "replace") for x in out]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(out, pa.binary()), pa.array(texts, pa.string())], names=names)
+        for part in _parts(batches, ids, pc.list_value_length):
+            lists = part.column(ids)
+            ends = _ends(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+            decoded = own.decode(lists.flatten().to_numpy(zero_copy_only=False), ends)
+            yield pa.RecordBatch.from_arrays([*part.columns[:kept], decoded, _readable(decoded)], names=names)
 
     return run
 
